@@ -8,7 +8,7 @@ from the registry, without a taxonomy code, or with a code the seed does not kno
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.config import OutlierConfig
@@ -16,18 +16,9 @@ from cohortlens.functions import null_if_tokens
 from cohortlens.plans.build import Build
 from cohortlens.session import Workspace
 from cohortlens.sources.readers import prefilter_registry
-from cohortlens.sources.schemas import RAW_PART_D, REGISTRY_HEADERS, TAXONOMY_SEED
-
-# Taxonomy code that stands for each market segment.
-SEGMENT_CODES = {
-    "AUTOMOBILE": "207R00000X",
-    "BUILDING": "208000000X",
-    "FURNITURE": "363L00000X",
-    "HOUSEHOLD": "174400000X",
-    "MACHINERY": "122300000X",
-}
+from cohortlens.sources.schemas import REGISTRY_HEADERS, TAXONOMY_SEED
 
-# The seed; one of the five codes is left out on purpose.
+# The seed. One of the five codes below is left out on purpose.
 SEED_ROWS = (
     ("207R00000X", "Allopathic", "Internal Medicine", "General", "Internal Medicine Physician"),
     ("208000000X", "Allopathic", "Pediatrics", None, "Pediatrics Physician"),
@@ -35,17 +26,134 @@ SEED_ROWS = (
     ("174400000X", "Other Service", "Specialist", None, "Specialist"),
 )
 
-# Fixed value: when the files count as loaded.
+# When the files count as loaded, and the time of the reports.
 LOADED_AT = "2024-01-31 00:00:00"
 NOW = "2024-01-31 12:00:00"
 
+# The mappings below are plain SQL, so that the twin queries can start from the same raw rows.
+
+# customer, nation, region -> registry
+REGISTRY = {
+    "npi": "cast(c_custkey as string)",
+    "entity_type_code": "case when c_acctbal >= 9500 then '2' else '1' end",
+    "provider_last_name": "case when c_acctbal between 5000 and 5200 then '  ' else c_name end",
+    "provider_first_name": "case when r_name <> 'ASIA' then n_name end",
+    "provider_middle_name": "''",
+    "provider_credentials": "case when c_acctbal > 4000 then 'M.D.' else 'NULL' end",
+    "practice_city": "' ' || n_name || ' '",
+    "practice_state": "case when c_acctbal between 2000 and 2300 then '' else lower(left(r_name, 2)) || ' ' end",
+    "practice_zip": "lpad(cast(c_custkey as string), 9, '0')",
+    "provider_sex_code": "case when c_mktsegment = 'BUILDING' then 'F' else 'M' end",
+    "primary_taxonomy_code": """
+        case when c_acctbal between 300 and 400 then ''
+             when c_mktsegment = 'AUTOMOBILE' then '207R00000X'
+             when c_mktsegment = 'BUILDING' then '208000000X'
+             when c_mktsegment = 'FURNITURE' then '363L00000X'
+             when c_mktsegment = 'HOUSEHOLD' then '174400000X'
+             when c_mktsegment = 'MACHINERY' then '122300000X' end""",
+    "enumeration_date": "'05/23/2006'",
+    "last_update_date": "'01/15/2024'",
+    "deactivation_date": "case when c_acctbal < 0 then '03/15/2019' when c_acctbal < 3000 then '' end",
+}
+
+# lineitem, orders, part -> prescriptions
+PART_D = {
+    "prscrbr_npi": "cast(o_custkey as string)",
+    "prscrbr_last_org_name": "cast(null as string)",
+    "prscrbr_first_name": "cast(null as string)",
+    "prscrbr_city": "case when o_orderstatus = 'F' then 'PORT CITY' else ' hill town ' end",
+    "prscrbr_state_abrvtn": "case o_orderstatus when 'F' then 'AF' when 'O' then 'EU' else '' end",
+    "prscrbr_state_fips": "o_orderstatus",
+    "prscrbr_type": "case o_orderstatus when 'F' then 'General Practice' when 'O' then 'Dentist' else ' ' end",
+    "prscrbr_type_src": "'S'",
+    "brnd_name": "case when p_size = 1 then '  ' else p_name end",
+    "gnrc_name": "case when p_size = 50 then '*' when p_size <= 25 then upper(p_name) else p_type end",
+    "tot_clms": "cast(l_quantity as string)",
+    "tot_30day_fills": "cast(l_quantity * cast(1.5 as double) as string)",
+    "tot_day_suply": "cast(cast(l_quantity as bigint) * 30 as string)",
+    "tot_drug_cst": "cast(cast(l_extendedprice as decimal(18,2)) as string)",
+    "tot_benes": "case when l_quantity < 11 then '*' else cast(cast(l_quantity as bigint) as string) end",
+    "ge65_sprsn_flag": "case when l_returnflag = 'R' then '*' else '#' end",
+    "ge65_tot_clms": "case when l_returnflag = 'R' then cast(cast(l_quantity as bigint) as string) else 'NULL' end",
+    "ge65_tot_30day_fills": "case when l_returnflag = 'R' then cast(l_quantity as string) else 'n/a' end",
+    "ge65_tot_drug_cst": """
+        case when l_returnflag = 'R' then cast(cast(l_extendedprice as decimal(18,2)) as string) end""",
+    "ge65_tot_day_suply": "case when l_returnflag = 'R' then cast(cast(l_quantity as bigint) * 30 as string) end",
+    "ge65_bene_sprsn_flag": "case when l_returnflag = 'R' then '' else '*' end",
+    "ge65_tot_benes": """
+        case when l_returnflag = 'R' and l_quantity >= 11 then cast(cast(l_quantity as bigint) as string) end""",
+}
+
+# orders -> services
+PART_B = {
+    "rndrng_npi": "cast(o_custkey as string)",
+    "rndrng_prvdr_last_org_name": "cast(null as string)",
+    "rndrng_prvdr_first_name": "cast(null as string)",
+    "rndrng_prvdr_mi": "cast(null as string)",
+    "rndrng_prvdr_crdntls": "'MD '",
+    "rndrng_prvdr_ent_cd": "case when o_orderstatus = 'P' then 'O' else 'I' end",
+    "rndrng_prvdr_city": "'LAKE SIDE'",
+    "rndrng_prvdr_state_abrvtn": "case when o_orderstatus = 'F' then 'AS' else 'ME' end",
+    "rndrng_prvdr_state_fips": "o_orderstatus",
+    "rndrng_prvdr_zip5": "lpad(cast(o_custkey as string), 5, '0')",
+    "rndrng_prvdr_ruca": "'1'",
+    "rndrng_prvdr_ruca_desc": "'Metropolitan, core'",
+    "rndrng_prvdr_cntry": "'US'",
+    "rndrng_prvdr_type": "'Type ' || o_orderstatus",
+    "rndrng_prvdr_mdcr_prtcptg_ind": "'Y'",
+    "hcpcs_cd": "o_orderpriority",
+    "hcpcs_desc": "lower(o_orderpriority)",
+    "hcpcs_drug_ind": "'N'",
+    "place_of_srvc": "o_orderstatus",
+    "tot_benes": "case when o_orderpriority = '5-LOW' then '*' else cast(month(o_orderdate) as string) end",
+    "tot_srvcs": "cast(month(o_orderdate) as string) || '.5'",
+    "tot_bene_day_srvcs": "cast(dayofmonth(o_orderdate) as string)",
+    "avg_sbmtd_chrg": "cast(cast(o_totalprice as decimal(18,2)) * 1.0 as string)",
+    "avg_mdcr_alowd_amt": "cast(cast(o_totalprice as decimal(18,2)) * 0.8 as string)",
+    "avg_mdcr_pymt_amt": "cast(cast(o_totalprice as decimal(18,2)) * 0.6 as string)",
+    "avg_mdcr_stdzd_amt": "cast(cast(o_totalprice as decimal(18,2)) * 0.5 as string)",
+}
+
+# events -> metered usage and finished jobs
+METER = {
+    "start_time": "ts",
+    "warehouse_name": "event_type",
+    "credits_used": "value",
+    "credits_used_cloud_services": "value / cast(8 as double)",
+}
+JOB_LOG = {
+    "query_id": "event_id",
+    "user_name": "cast(user_id as string)",
+    "warehouse_name": "case when user_id < 100 then 'MAIN_WH' else 'OTHER_WH' end",
+    "warehouse_size": "'X-Small'",
+    "query_type": """
+        case when event_type in ('purchase', 'signup') then 'INSERT'
+             when event_type = 'error' then 'SHOW' else 'SELECT' end""",
+    "total_elapsed_time": "cast(round(value * 1000) as bigint)",
+    "bytes_scanned": "cast(regexp_extract(props, '([0-9]+)', 1) as bigint) * 100000000",
+    "rows_produced": "cast(regexp_extract(props, '([0-9]+)', 1) as bigint)",
+    "start_time": "ts",
+    "query_text": "'select * from ' || repeat(props, 20)",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _text(c: Column) -> Column:
-    return c.cast("string")
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a scan that comes in only a few pieces.
+
+    A test file has a single row group, so everything up to the first shuffle would run in one
+    task. Inputs with at least as many splits as cores, and so all large ones, are left alone.
+    """
+    splits = df.rdd.getNumPartitions()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if splits >= cores else df.repartition(min(cores, 8 * splits), key)
+
+
+def _mapped(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{sql} as `{name}`" for name, sql in mapping.items()])
 
 
 def _loaded(df: DataFrame) -> DataFrame:
@@ -54,42 +162,23 @@ def _loaded(df: DataFrame) -> DataFrame:
 
 
 def taxonomy_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SEED_ROWS, TAXONOMY_SEED)
+    """The seed as a local relation, whose size the planner knows."""
+    rows = ", ".join(
+        "(" + ", ".join("cast(null as string)" if v is None else f"'{v}'" for v in row) + ")" for row in SEED_ROWS
+    )
+    return spark.sql(f"select * from values {rows} as seed({', '.join(TAXONOMY_SEED.names)})")
 
 
 def registry_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registry before its prefilter, under the long published headers."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    code = F.create_map(*[F.lit(x) for pair in SEGMENT_CODES.items() for x in pair])
-    balance = F.col("c_acctbal")
-    unnamed = balance.between(5000, 5200)
-    columns = {
-        "npi": _text(F.col("c_custkey")),
-        "entity_type_code": F.when(balance >= 9500, F.lit("2")).otherwise(F.lit("1")),
-        "provider_last_name": F.when(unnamed, F.lit("  ")).otherwise(F.col("c_name")),
-        "provider_first_name": F.when(F.col("r_name") != "ASIA", F.col("n_name")),
-        "provider_middle_name": F.lit(""),
-        "provider_credentials": F.when(balance > 4000, F.lit("M.D.")).otherwise(F.lit("NULL")),
-        "practice_city": F.concat(F.lit(" "), F.col("n_name"), F.lit(" ")),
-        "practice_state": F.when(
-            ~balance.between(2000, 2300), F.concat(F.lower(F.left("r_name", F.lit(2))), F.lit(" "))
-        ).otherwise(F.lit("")),
-        "practice_zip": F.lpad(_text(F.col("c_custkey")), 9, "0"),
-        "provider_sex_code": F.when(F.col("c_mktsegment") == "BUILDING", F.lit("F")).otherwise(F.lit("M")),
-        "primary_taxonomy_code": F.when(balance.between(300, 400), F.lit("")).otherwise(
-            code[F.col("c_mktsegment")]
-        ),
-        "enumeration_date": F.lit("05/23/2006"),
-        "last_update_date": F.lit("01/15/2024"),
-        "deactivation_date": F.when(balance < 0, F.lit("03/15/2019")).when(balance < 3000, F.lit("")),
-    }
-    return (
+    customers = (
         table(spark, sf_dir, "customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(*[columns[short].alias(header) for short, header in REGISTRY_HEADERS.items()])
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
+    return _mapped(customers, {REGISTRY_HEADERS[short]: sql for short, sql in REGISTRY.items()})
 
 
 def raw_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,44 +187,17 @@ def raw_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_d_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prescriptions: order lines with the ordering customer and the part as the drug."""
-    lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
-    parts = table(spark, sf_dir, "part")
-    quantity = F.col("l_quantity").cast("bigint")
-    seniors = F.col("l_returnflag") == "R"
-    columns = {
-        "prscrbr_npi": _text(F.col("o_custkey")),
-        "prscrbr_last_org_name": F.lit(None).cast("string"),
-        "prscrbr_first_name": F.lit(None).cast("string"),
-        "prscrbr_city": F.when(F.col("l_linestatus") == "F", F.lit("PORT CITY")).otherwise(F.lit(" hill town ")),
-        "prscrbr_state_abrvtn": F.when(F.col("o_orderstatus") == "F", F.lit("AF"))
-        .when(F.col("o_orderstatus") == "O", F.lit("EU"))
-        .otherwise(F.lit("")),
-        "prscrbr_state_fips": F.col("o_orderstatus"),
-        "prscrbr_type": F.when(F.col("o_orderpriority") == "5-LOW", F.lit(" ")).otherwise(F.col("o_orderpriority")),
-        "prscrbr_type_src": F.lit("S"),
-        "brnd_name": F.when(F.col("p_size") == 1, F.lit("  ")).otherwise(F.col("p_name")),
-        "gnrc_name": F.when(F.col("p_size") == 50, F.lit("*"))
-        .when(F.col("p_size") <= 25, F.upper("p_name"))
-        .otherwise(F.col("p_type")),
-        "tot_clms": _text(F.col("l_quantity")),
-        "tot_30day_fills": _text(F.col("l_quantity") * F.lit(1.5)),
-        "tot_day_suply": _text(quantity * 30),
-        "tot_drug_cst": _text(F.col("l_extendedprice").cast("decimal(18,2)")),
-        "tot_benes": F.when(quantity < 11, F.lit("*")).otherwise(_text(quantity)),
-        "ge65_sprsn_flag": F.when(seniors, F.lit("*")).otherwise(F.lit("#")),
-        "ge65_tot_clms": F.when(seniors, _text(quantity)).otherwise(F.lit("NULL")),
-        "ge65_tot_30day_fills": F.when(seniors, _text(F.col("l_quantity"))).otherwise(F.lit("n/a")),
-        "ge65_tot_drug_cst": F.when(seniors, _text(F.col("l_extendedprice").cast("decimal(18,2)"))),
-        "ge65_tot_day_suply": F.when(seniors, _text(quantity * 30)),
-        "ge65_bene_sprsn_flag": F.when(seniors, F.lit("")).otherwise(F.lit("*")),
-        "ge65_tot_benes": F.when(seniors & (quantity >= 11), _text(quantity)),
-    }
-    return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .select(*[columns[name].alias(name) for name in RAW_PART_D.names])
+    part = table(spark, sf_dir, "part")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"
+    )
+    rows = (
+        spread(lines, "l_orderkey")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
     )
+    return _mapped(rows, PART_D)
 
 
 def raw_part_d(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,41 +206,10 @@ def raw_part_d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_b_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Services: orders, with a fractional service count and average amounts as text."""
-    price = F.col("o_totalprice").cast("decimal(18,2)")
-    services = F.month("o_orderdate")
-
-    def average(percent: int) -> Column:
-        return _text((price * F.lit(percent) / F.lit(100)).cast("decimal(18,4)"))
-
-    columns = {
-        "rndrng_npi": _text(F.col("o_custkey")),
-        "rndrng_prvdr_last_org_name": F.lit(None).cast("string"),
-        "rndrng_prvdr_first_name": F.lit(None).cast("string"),
-        "rndrng_prvdr_mi": F.lit(None).cast("string"),
-        "rndrng_prvdr_crdntls": F.lit("MD "),
-        "rndrng_prvdr_ent_cd": F.when(F.col("o_orderstatus") == "P", F.lit("O")).otherwise(F.lit("I")),
-        "rndrng_prvdr_city": F.lit("LAKE SIDE"),
-        "rndrng_prvdr_state_abrvtn": F.when(F.col("o_orderstatus") == "F", F.lit("AS")).otherwise(F.lit("ME")),
-        "rndrng_prvdr_state_fips": F.col("o_orderstatus"),
-        "rndrng_prvdr_zip5": F.lpad(_text(F.col("o_custkey")), 5, "0"),
-        "rndrng_prvdr_ruca": F.lit("1"),
-        "rndrng_prvdr_ruca_desc": F.lit("Metropolitan, core"),
-        "rndrng_prvdr_cntry": F.lit("US"),
-        "rndrng_prvdr_type": F.concat(F.lit("Type "), F.col("o_orderpriority")),
-        "rndrng_prvdr_mdcr_prtcptg_ind": F.lit("Y"),
-        "hcpcs_cd": F.col("o_orderpriority"),
-        "hcpcs_desc": F.lower("o_orderpriority"),
-        "hcpcs_drug_ind": F.lit("N"),
-        "place_of_srvc": F.col("o_orderstatus"),
-        "tot_benes": F.when(F.col("o_orderpriority") == "5-LOW", F.lit("*")).otherwise(_text(services)),
-        "tot_srvcs": F.concat(_text(services), F.lit(".5")),
-        "tot_bene_day_srvcs": _text(F.dayofmonth("o_orderdate")),
-        "avg_sbmtd_chrg": average(100),
-        "avg_mdcr_alowd_amt": average(80),
-        "avg_mdcr_pymt_amt": average(60),
-        "avg_mdcr_stdzd_amt": average(50),
-    }
-    return table(spark, sf_dir, "orders").select(*[c.alias(name) for name, c in columns.items()])
+    orders = table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    )
+    return _mapped(spread(orders, "o_custkey"), PART_B)
 
 
 def raw_part_b(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,75 +218,44 @@ def raw_part_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def meter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as metered usage; the event type is the warehouse."""
-    return table(spark, sf_dir, "events").select(
-        F.col("ts").alias("start_time"),
-        F.col("event_type").alias("warehouse_name"),
-        F.col("value").alias("credits_used"),
-        (F.col("value") / F.lit(8.0)).alias("credits_used_cloud_services"),
-    )
+    return _mapped(table(spark, sf_dir, "events"), METER)
 
 
 def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as finished jobs; the payload's number gives the bytes read."""
-    number = F.regexp_extract("props", "([0-9]+)", 1).cast("bigint")
-    statement = (
-        F.when(F.col("event_type").isin("purchase", "signup"), F.lit("INSERT"))
-        .when(F.col("event_type") == "error", F.lit("SHOW"))
-        .otherwise(F.lit("SELECT"))
-    )
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("query_id"),
-        _text(F.col("user_id")).alias("user_name"),
-        F.when(F.col("user_id") < 100, F.lit("MAIN_WH")).otherwise(F.lit("OTHER_WH")).alias("warehouse_name"),
-        F.lit("X-Small").alias("warehouse_size"),
-        statement.alias("query_type"),
-        F.round(F.col("value") * 1000).cast("bigint").alias("total_elapsed_time"),
-        (number * 100_000_000).alias("bytes_scanned"),
-        number.alias("rows_produced"),
-        F.col("ts").alias("start_time"),
-        F.concat(F.lit("select * from "), F.repeat("props", 20)).alias("query_text"),
-    )
+    return _mapped(table(spark, sf_dir, "events"), JOB_LOG)
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as catalog datasets, each with three nested distributions, two of them CSV files."""
-    key = _text(F.col("o_orderkey"))
-    month = F.date_format("o_orderdate", "yyyy-MM")
-
-    def distribution(title: Column, link: Column, fallback: Column, media: str) -> Column:
-        return F.struct(
-            title.alias("title"),
-            link.alias("downloadURL"),
-            fallback.alias("accessURL"),
-            F.lit(media).alias("mediaType"),
-            F.col("o_orderstatus").alias("description"),
-        )
-
-    nothing = F.lit(None).cast("string")
-    base = F.concat(F.lit("https://files.example/"), key)
-    return table(spark, sf_dir, "orders").select(
-        F.concat(F.col("o_orderpriority"), F.lit(" ")).alias("title"),
-        month.alias("modified"),
-        F.array(
-            distribution(
-                F.concat(F.lit("Orders : "), month, F.lit("-01")), F.concat(base, F.lit(".csv")), nothing, "text/csv"
-            ),
-            distribution(F.lit("Orders : 2099-12"), F.concat(base, F.lit(".zip")), nothing, "application/zip"),
-            distribution(F.lit("Orders, undated"), F.lit(""), F.concat(base, F.lit("-all.csv")), "text/csv"),
-        ).alias("distribution"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderpriority || ' ' as title",
+        "date_format(o_orderdate, 'yyyy-MM') as modified",
+        """array(
+            named_struct('title', 'Orders : ' || date_format(o_orderdate, 'yyyy-MM') || '-01',
+                         'downloadURL', 'https://files.example/' || o_orderkey || '.csv',
+                         'accessURL', cast(null as string),
+                         'mediaType', 'text/csv', 'description', o_orderstatus),
+            named_struct('title', 'Orders : 2099-12',
+                         'downloadURL', 'https://files.example/' || o_orderkey || '.zip',
+                         'accessURL', cast(null as string),
+                         'mediaType', 'application/zip', 'description', o_orderstatus),
+            named_struct('title', 'Orders, undated',
+                         'downloadURL', '',
+                         'accessURL', 'https://files.example/' || o_orderkey || '-all.csv',
+                         'mediaType', 'text/csv', 'description', o_orderstatus)
+        ) as distribution""",
     )
 
 
 def activity_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered entities with an event total that only few of them have: a thinly covered metric."""
-    registry = raw_registry(spark, sf_dir).select(
-        "npi",
-        F.col("primary_taxonomy_code").alias("taxonomy_code"),
-        F.upper("practice_state").alias("state"),
+    registry = raw_registry(spark, sf_dir).selectExpr(
+        "npi", "primary_taxonomy_code as taxonomy_code", "upper(practice_state) as state"
     )
     activity = (
         table(spark, sf_dir, "events")
-        .groupBy(_text(F.col("user_id")).alias("npi"))
+        .groupBy(F.col("user_id").cast("string").alias("npi"))
         .agg(F.sum(F.col("value").cast("decimal(18,2)")).alias("activity"))
     )
     return registry.join(activity, "npi", "left")
@@ -287,4 +287,5 @@ def new_build(spark: SparkSession, sf_dir: str, config: OutlierConfig = OutlierC
         raw_registry(spark, sf_dir),
         taxonomy_seed(spark),
         config,
+        land_part_d=True,
     )

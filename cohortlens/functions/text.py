@@ -12,17 +12,15 @@ NULL_TOKENS = ("", "NULL", "*")
 
 def null_if_tokens(df: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
     """Trim every text column and turn the null tokens into nulls, in one projection."""
+    listed = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in tokens)
 
-    def cleaned(name: str) -> Column:
-        trimmed = F.trim(F.col(f"`{name}`"))
-        return F.when(~trimmed.isin(*tokens), trimmed).alias(name)
+    def cleaned(field: T.StructField) -> str:
+        name = "`" + field.name.replace("`", "``") + "`"
+        if not isinstance(field.dataType, T.StringType):
+            return name
+        return f"case when trim({name}) not in ({listed}) then trim({name}) end as {name}"
 
-    return df.select(
-        *[
-            cleaned(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+    return df.selectExpr(*[cleaned(f) for f in df.schema.fields])
 
 
 def nonblank(c: Column) -> Column:

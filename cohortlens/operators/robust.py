@@ -27,72 +27,85 @@ from pyspark.sql import functions as F
 
 from cohortlens.session import Workspace
 
-INF = float("inf")
 DEFAULT_ACCURACY = 10_000
 _FIRST_SPREAD = 2.0
 _WIDEN_BY = 32.0
 
 
-def _bracket(value: Column, accuracy: int, spread: float) -> Column:
-    """Sketched quantiles just below, at and just above the middle."""
-    reach = min(spread / accuracy, 0.5)
-    return F.percentile_approx(value, [0.5 - reach, 0.5, 0.5 + reach], accuracy)
+# The aggregates are written as SQL text: wide statistics take hundreds of them, and every Column
+# call costs a round trip to the JVM.
 
 
-def _clipped_median(value: Column, low: Column, high: Column) -> Column:
-    outside = F.when(value < low, F.lit(-INF)).when(value > high, F.lit(INF))
-    return F.median(outside.otherwise(value))
+def _value(name: str) -> str:
+    return f"cast(`{name}` as double)"
 
 
-def _missed(median: Column) -> Column:
-    return F.abs(median).isin(INF, float("nan"))
+def _bracket(value: str, accuracy: int, spread: float) -> Column:
+    """Sketched quantiles just below, at and just above the middle."""
+    reach = min(spread / accuracy, 0.5)
+    return F.expr(f"percentile_approx({value}, array({0.5 - reach!r}D, 0.5D, {0.5 + reach!r}D), {accuracy})")
+
+
+def _clipped_median(value: str, low: str, high: str) -> Column:
+    infinity = "double('infinity')"
+    return F.expr(
+        f"median(case when {value} < {low} then -{infinity} when {value} > {high} then {infinity} else {value} end)"
+    )
 
 
 def _any_missed(table: DataFrame, names: Sequence[str]) -> bool:
-    condition = F.lit(False)
-    for name in names:
-        condition = condition | F.coalesce(_missed(F.col(name)), F.lit(False))
-    return not table.filter(condition).isEmpty()
+    """Did any bracket fail to hold the median? Then the clipped median is not finite."""
+    values = ", ".join(f"abs(`{name}`)" for name in names)
+    return not table.filter(f"double('infinity') <= greatest({values}, 0D)").isEmpty()
 
 
-def _double(name: str) -> Column:
-    return F.col(name).cast("double")
+def _first_pass(
+    df: DataFrame, keys: Sequence[str], cols: Sequence[str], extra: Sequence[Column], accuracy: int, spread: float
+) -> DataFrame:
+    near = [_bracket(_value(c), accuracy, spread).alias(f"near_{c}") for c in cols]
+    return df.groupBy(*keys).agg(*extra, *near)
 
 
-def _medians(
+def _second_pass(
     df: DataFrame,
+    near: DataFrame,
     keys: Sequence[str],
     cols: Sequence[str],
-    workspace: Workspace,
-    extra: Sequence[Column],
-    having: Column | None,
     deviations: bool,
     accuracy: int,
-) -> tuple[DataFrame, DataFrame]:
-    """Run the first two passes; returns the written tables of both."""
-    spread = _FIRST_SPREAD
-    while True:
-        first = df.groupBy(*keys).agg(
-            *extra, *[_bracket(_double(c), accuracy, spread).alias(f"near_{c}") for c in cols]
+    spread: float,
+) -> DataFrame:
+    aggregates = []
+    for c in cols:
+        low, middle, high = (f"`near_{c}`[{i}]" for i in range(3))
+        aggregates.append(_clipped_median(_value(c), low, high).alias(f"median_{c}"))
+        if deviations:
+            around = f"abs({_value(c)} - {middle})"
+            aggregates.append(_bracket(around, accuracy, spread).alias(f"dev_{c}"))
+            aggregates.append(F.expr(f"max({middle})").alias(f"middle_{c}"))
+    return df.join(near.select(*keys, *[f"near_{c}" for c in cols]), list(keys)).groupBy(*keys).agg(*aggregates)
+
+
+def _third_pass(df: DataFrame, centres: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    aggregates = []
+    for c in cols:
+        median, low, high = f"`median_{c}`", f"`dev_{c}`[0]", f"`dev_{c}`[2]"
+        # The relative part absorbs rounding.
+        reach = f"(abs({median} - `middle_{c}`) + 1e-9D * (abs({median}) + {high}))"
+        around = f"abs({_value(c)} - {median})"
+        aggregates.append(
+            _clipped_median(around, f"({low} - {reach})", f"({high} + {reach})").alias(f"mad_{c}")
         )
-        if having is not None:
-            first = first.filter(having)
-        first = workspace.write(first, "brackets")
+    return df.join(centres, list(keys)).groupBy(*keys).agg(*aggregates)
 
-        near = first.select(*keys, *[f"near_{c}" for c in cols])
-        aggregates = []
-        for c in cols:
-            low, middle, high = (F.col(f"near_{c}")[i] for i in range(3))
-            aggregates.append(_clipped_median(_double(c), low, high).alias(f"median_{c}"))
-            if deviations:
-                around = F.abs(_double(c) - middle)
-                aggregates.append(_bracket(around, accuracy, spread).alias(f"dev_{c}"))
-        second = workspace.write(df.join(near, list(keys)).groupBy(*keys).agg(*aggregates), "medians")
-
-        whole_range = spread / accuracy >= 0.5
-        if whole_range or not _any_missed(second, [f"median_{c}" for c in cols]):
-            return first, second
+
+def _spreads(accuracy: int):
+    """Bracket widths to try; the last one spans the whole range and cannot miss."""
+    spread = _FIRST_SPREAD
+    while spread / accuracy < 0.5:
+        yield spread
         spread *= _WIDEN_BY
+    yield 0.5 * accuracy
 
 
 def group_medians(
@@ -107,7 +120,12 @@ def group_medians(
 
     ``df`` is read twice and should come from a written table. Groups with a null key are left out.
     """
-    _, medians = _medians(df, keys, cols, workspace, (), None, False, accuracy)
+    names = [f"median_{c}" for c in cols]
+    for spread in _spreads(accuracy):
+        near = workspace.write(_first_pass(df, keys, cols, (), accuracy, spread), "brackets")
+        medians = workspace.write(_second_pass(df, near, keys, cols, False, accuracy, spread), "medians")
+        if not _any_missed(medians, names):
+            break
     return medians
 
 
@@ -139,44 +157,15 @@ def robust_stats(
     ``extra`` rides along in the first pass. ``having`` may use the extra aggregates; groups it
     drops are skipped by the later passes. ``df`` is read three times and should be a written table.
     """
-    first, medians = _medians(df, keys, cols, workspace, extra, having, True, accuracy)
-    near = first.select(*keys, *[f"near_{c}" for c in cols])
-    centres = workspace.write(
-        medians.join(near, list(keys)).select(*keys, *[x for c in cols for x in _deviation_bounds(c)]),
-        "centres",
-    )
-
-    slack = 1.0
-    while True:
-        aggregates = []
-        for c in cols:
-            around = F.abs(_double(c) - F.col(f"median_{c}"))
-            reach = F.lit(slack) * F.col(f"reach_{c}")
-            aggregates.append(
-                _clipped_median(around, F.col(f"low_{c}") - reach, F.col(f"high_{c}") + reach).alias(f"mad_{c}")
-            )
-        third = workspace.write(df.join(centres, list(keys)).groupBy(*keys).agg(*aggregates), "deviations")
-        if slack == INF or not _any_missed(third, [f"mad_{c}" for c in cols]):
+    names = [f"median_{c}" for c in cols]
+    for spread in _spreads(accuracy):
+        first = _first_pass(df, keys, cols, extra, accuracy, spread)
+        if having is not None:
+            first = first.filter(having)
+        first = workspace.write(first, "brackets")
+        second = workspace.write(_second_pass(df, first, keys, cols, True, accuracy, spread), "medians")
+        third = workspace.write(_third_pass(df, second, keys, cols), "deviations")
+        exact = second.select(*keys, *names).join(third, list(keys))
+        if not _any_missed(exact, [*names, *[f"mad_{c}" for c in cols]]):
             break
-        slack = INF
-
-    classical = first.drop(*[f"near_{c}" for c in cols])
-    exact = medians.select(*keys, *[f"median_{c}" for c in cols])
-    return classical.join(exact, list(keys)).join(third, list(keys))
-
-
-def _deviation_bounds(c: str) -> list[Column]:
-    """Median, sketched bounds of the deviations, and how far the bounds may be off.
-
-    The tiny relative part absorbs rounding; it also keeps the reach positive, so that an
-    infinite slack opens the bracket to the whole range.
-    """
-    median, middle = F.col(f"median_{c}"), F.col(f"near_{c}")[1]
-    low, high = F.col(f"dev_{c}")[0], F.col(f"dev_{c}")[2]
-    rounding = F.lit(1e-9) * (F.abs(median) + high + F.lit(1.0))
-    return [
-        median,
-        low.alias(f"low_{c}"),
-        high.alias(f"high_{c}"),
-        (F.abs(median - middle) + rounding).alias(f"reach_{c}"),
-    ]
+    return first.drop(*[f"near_{c}" for c in cols]).join(exact, list(keys))

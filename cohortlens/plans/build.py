@@ -27,17 +27,27 @@ class Build:
         taxonomy: DataFrame,
         config: OutlierConfig = OutlierConfig(),
         data_year: int = 2023,
+        land_part_d: bool = False,
     ):
+        """``land_part_d`` writes the prescription columns the rollup needs before it runs.
+
+        The rollup reads them twice. That is cheap on a landed file, but not if every read
+        repeats a join.
+        """
         self.workspace = workspace
         self.taxonomy = taxonomy
         self.config = config
+        self.land_part_d = land_part_d
         self.stg_part_d = staging.stg_part_d(raw_part_d, data_year)
         self.stg_part_b = staging.stg_part_b(raw_part_b, data_year)
         self.stg_registry = staging.stg_registry(raw_registry)
 
     @cached_property
     def part_d_annual(self) -> DataFrame:
-        return self.workspace.write(rollups.part_d_annual(self.stg_part_d), "part_d_annual")
+        detail = self.stg_part_d.select(*rollups.PART_D_INPUTS)
+        if self.land_part_d:
+            detail = self.workspace.write(detail, "part_d_detail")
+        return self.workspace.write(rollups.part_d_annual(detail), "part_d_annual")
 
     @cached_property
     def part_b_annual(self) -> DataFrame:

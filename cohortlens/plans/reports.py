@@ -354,7 +354,7 @@ def cost_bands(distribution: DataFrame, providers: DataFrame, name: str) -> Data
     chosen = providers.filter(F.col("provider_full_name") == name).select(F.col("npi").alias("demo_npi"))
     return (
         distribution.filter(F.col("series") == "peer_group")
-        .join(F.broadcast(chosen), "demo_npi")
+        .join(chosen, "demo_npi")
         .groupBy(cost_band(F.col("value")).alias("cost_band"))
         .agg(F.count("*").alias("peer_count"))
         .orderBy("cost_band")

@@ -3,7 +3,8 @@
 An entity may own a large share of all detail rows, so nothing is grouped by the entity before it
 has been combined on the map side. Text attributes cannot sit in a hash aggregation buffer; an
 aggregate holding them would sort its whole input. They are therefore made grouping keys of a first,
-hash-based aggregate, and the dominant one is picked from the few combinations that remain.
+hash-based aggregate, and the dominant one is picked from the few combinations that remain. A split
+by category is a further such key, so that each measure is summed once per row.
 Distinct counts run over their own narrow projection, spread by (entity, value).
 """
 
@@ -18,6 +19,11 @@ from cohortlens.functions import safe_ratio, weighted_total
 from cohortlens.operators.relational import dominant
 
 DRUG_KINDS = ("brand", "generic")
+PART_D_ATTRIBUTES = ("prescriber_specialty_text", "prescriber_state", "prescriber_city")
+PART_D_MEASURES = ("total_claims", "total_30day_fills", "total_drug_cost", "total_day_supply")
+PART_D_INPUTS = (
+    "npi", "data_year", *PART_D_ATTRIBUTES, *PART_D_MEASURES, "drug_kind", "generic_name", "brand_name"
+)
 
 
 def _rollup(
@@ -26,9 +32,12 @@ def _rollup(
     weight: str,
     sums: dict[str, Column],
     distincts: dict[str, str],
+    split: str | None = None,
+    split_sums: dict[str, Column] | None = None,
 ) -> DataFrame:
     heaviest = f"_max_{weight}"
-    combined = rows.groupBy("npi", *attributes).agg(
+    categories = [] if split is None else [split]
+    combined = rows.groupBy("npi", *attributes, *categories).agg(
         F.max("data_year").alias("data_year"),
         F.max(weight).alias(heaviest),
         *[total.alias(name) for name, total in sums.items()],
@@ -37,6 +46,7 @@ def _rollup(
         F.max("data_year").alias("data_year"),
         *[dominant(a, heaviest).alias(a) for a in attributes],
         *[F.sum(name).alias(name) for name in sums],
+        *[total.alias(name) for name, total in (split_sums or {}).items()],
     )
     counted = rows.groupBy("npi").agg(
         *[F.count_distinct(F.col(source)).alias(name) for name, source in distincts.items()]
@@ -59,13 +69,12 @@ def part_d_annual(stg: DataFrame) -> DataFrame:
     """Prescriptions per entity, with brand/generic splits and shares."""
     rolled = _rollup(
         stg.filter(F.col("npi").isNotNull()),
-        attributes=("prescriber_specialty_text", "prescriber_state", "prescriber_city"),
+        attributes=PART_D_ATTRIBUTES,
         weight="total_claims",
-        sums={
-            **{c: F.sum(c) for c in ("total_claims", "total_30day_fills", "total_drug_cost", "total_day_supply")},
-            **conditional_sums(),
-        },
+        sums={c: F.sum(c) for c in PART_D_MEASURES},
         distincts={"distinct_generics": "generic_name", "distinct_brands": "brand_name"},
+        split="drug_kind",
+        split_sums=conditional_sums(),
     )
     return rolled.withColumns(
         {

@@ -25,10 +25,10 @@ def shared_folder(spark: SparkSession) -> str:
     Without that setting a temporary folder is made, but only for a local master: on a cluster
     a machine-local folder would lose tables together with its machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     root = _local_roots.get(context.applicationId)
@@ -62,3 +62,8 @@ class Workspace:
         path = self.path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Delete the run's tables; DataFrames that read them can no longer be used."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -27,7 +27,14 @@ def write_table(df: DataFrame, root: str, layer: str | None, name: str, default:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(header="true", quote='"', escape='"').csv(path)
+    """Header, doubled quotes, and blanks at the ends of a field kept."""
+    df.write.mode("overwrite").options(
+        header="true",
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace="false",
+        ignoreTrailingWhiteSpace="false",
+    ).csv(path)
 
 
 def write_extract(df: DataFrame, path: str) -> None:
