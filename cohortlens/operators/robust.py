@@ -9,7 +9,8 @@ Here each pass over the data is a plain ``groupBy().agg()`` that combines on the
    is but collapses them into two entries of the aggregation buffer. What remains is the share of
    a group inside the bracket, below a thousandth of its rows at the default accuracy.
 
-The rows themselves are never shuffled; only one small row per group and task is. Results are exact:
+The rows themselves are not shuffled; only one small row per group and task is. (With more groups
+than can be broadcast the rows are joined by group, the oversized groups apart; see ``join_groups``.) Results are exact:
 should a sketch miss, the clipped median comes out infinite, and the pass is repeated with a wider
 bracket, finally with the whole range.
 
@@ -25,9 +26,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.operators.joins import join_groups
 from cohortlens.session import Workspace
 
 DEFAULT_ACCURACY = 10_000
+GROUP_ROWS = "_group_rows"
 _FIRST_SPREAD = 2.0
 _WIDEN_BY = 32.0
 
@@ -63,7 +66,7 @@ def _first_pass(
     df: DataFrame, keys: Sequence[str], cols: Sequence[str], extra: Sequence[Column], accuracy: int, spread: float
 ) -> DataFrame:
     near = [_bracket(_value(c), accuracy, spread).alias(f"near_{c}") for c in cols]
-    return df.groupBy(*keys).agg(*extra, *near)
+    return df.groupBy(*keys).agg(F.count("*").alias(GROUP_ROWS), *extra, *near)
 
 
 def _second_pass(
@@ -83,7 +86,9 @@ def _second_pass(
             around = f"abs({_value(c)} - {middle})"
             aggregates.append(_bracket(around, accuracy, spread).alias(f"dev_{c}"))
             aggregates.append(F.expr(f"max({middle})").alias(f"middle_{c}"))
-    return df.join(near.select(*keys, *[f"near_{c}" for c in cols]), list(keys)).groupBy(*keys).agg(*aggregates)
+    brackets = near.select(*keys, GROUP_ROWS, *[f"near_{c}" for c in cols])
+    rows = join_groups(df.select(*keys, *cols), brackets, keys, GROUP_ROWS)
+    return rows.groupBy(*keys).agg(F.count("*").alias(GROUP_ROWS), *aggregates)
 
 
 def _third_pass(df: DataFrame, centres: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -96,7 +101,7 @@ def _third_pass(df: DataFrame, centres: DataFrame, keys: Sequence[str], cols: Se
         aggregates.append(
             _clipped_median(around, f"({low} - {reach})", f"({high} + {reach})").alias(f"mad_{c}")
         )
-    return df.join(centres, list(keys)).groupBy(*keys).agg(*aggregates)
+    return join_groups(df.select(*keys, *cols), centres, keys, GROUP_ROWS).groupBy(*keys).agg(*aggregates)
 
 
 def _spreads(accuracy: int):
@@ -126,7 +131,7 @@ def group_medians(
         medians = workspace.write(_second_pass(df, near, keys, cols, False, accuracy, spread), "medians")
         if not _any_missed(medians, names):
             break
-    return medians
+    return medians.drop(GROUP_ROWS)
 
 
 def with_group_median(
@@ -168,4 +173,4 @@ def robust_stats(
         exact = second.select(*keys, *names).join(third, list(keys))
         if not _any_missed(exact, [*names, *[f"mad_{c}" for c in cols]]):
             break
-    return first.drop(*[f"near_{c}" for c in cols]).join(exact, list(keys))
+    return first.drop(GROUP_ROWS, *[f"near_{c}" for c in cols]).join(exact, list(keys))

@@ -54,6 +54,40 @@ def test_skewed_heavy_tailed_groups(spark, workspace):
     check(spark, workspace, rows)
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_too_many_groups_to_broadcast(spark, workspace, no_broadcast, monkeypatch):
+    from cohortlens.operators import joins
+
+    monkeypatch.setattr(joins, "MAX_HOT_GROUPS", 4)
+    rows = [("hot", float((i * 7919) % 1013)) for i in range(600)]
+    rows += [(str(i % 90), float(i % 17)) for i in range(1200)]
+    check(spark, workspace, rows)
+
+
+def test_oversized_groups_are_split_off(spark, workspace, no_broadcast, monkeypatch):
+    """Their rows meet a broadcast table; only the other rows are shuffled by group."""
+    from cohortlens.operators import joins
+
+    monkeypatch.setattr(joins, "MAX_HOT_GROUPS", 4)
+    rows = workspace.write(
+        spark.range(900).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 50).alias("k"), "id"), "rows"
+    )
+    groups = workspace.write(rows.groupBy("k").agg(F.count("*").alias("n")), "groups")
+    joined = joins.join_groups(rows, groups, ["k"], "n")
+    assert joined.count() == 900
+    assert joined.filter("k = -1").count() == 300
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2
+    assert "BroadcastHashJoin [k" in plan and "LeftAnti" in plan
+    assert plan.count("SortMergeJoin") == 1
+
+
 @pytest.mark.parametrize("accuracy", [2, 3, 20])
 def test_poor_sketches_are_noticed_and_widened(spark, workspace, accuracy):
     rows = [("a", float((i * 37) % 1009)) for i in range(1009)] + [("b", float(i * i)) for i in range(400)]
