@@ -12,6 +12,7 @@ import re
 from cohortlens.config import METRICS, Metric
 from cohortlens.demo import inputs
 from cohortlens.functions.labels import COST_BANDS, SPECIALTY_GROUPINGS, TOP_COST_BAND
+from cohortlens.plans.model_checks import DECLARED
 from cohortlens.plans.staging import (
     PART_B_AVERAGES,
     PART_B_COUNTS,
@@ -616,6 +617,9 @@ select * replace ({_r("median_drug_cost", "median_drug_cost")}, {_r("mad_drug_co
     "peer_group_diagnostics": f"""
 select * replace ({_r("median_drug_cost", "median_drug_cost")}, {_r("mad_drug_cost", "mad_drug_cost")})
 from rates where pct_flagged_mad > 40 or mad_drug_cost < 1""",
+    "peer_group_alerts": f"""
+select * replace ({_r("median_drug_cost", "median_drug_cost")}, {_r("mad_drug_cost", "mad_drug_cost")})
+from rates where pct_flagged_mad > 3 or mad_drug_cost < 400000""",
     "flag_share_by_specialty": f"""
 select specialty, flagged_mad, {_pct("flagged_mad", "total")} as pct_of_flags
 from (select specialty, flagged_mad, sum(flagged_mad) over () as total
@@ -793,4 +797,38 @@ where start_time >= timestamp '2024-01-24 00:00:00' and warehouse_name = 'MAIN_W
 order by total_elapsed_time desc, query_id limit 20""",
 }
 
+
+
+def _model_checks() -> str:
+    """Counts of all declared checks, over the twins of the model's tables."""
+    twins = {name: f"({BODIES[name]})" for name in DECLARED if name in BODIES}
+    twins |= {"taxonomy": "seed", "mart": "mart"}
+    parts = []
+    for name, checks in DECLARED.items():
+        relation = twins[name]
+        parts += [_violations(f"not_null:{name}.{c}", f"{c} is null", relation) for c in checks.not_null]
+        for c, values in checks.accepted.items():
+            listed = ", ".join(f"'{v}'" for v in values)
+            parts.append(_violations(f"accepted:{name}.{c}", f"{c} not in ({listed})", relation))
+        for c in checks.unique:
+            parts.append(f"""
+select 'unique:{name}.{c}' as check_name, count(*) as n_violations
+from (select {c} from {relation} group by 1 having count({c}) > 1)""")
+        if checks.in_dimension:
+            parts.append(f"""
+select 'reference:{name}.npi' as check_name, count(*) as n_violations
+from {relation} c where c.npi is not null and c.npi not in (select npi from ({BODIES["dim_provider"]}))""")
+    parts.append(_violations("floor:mart", _broken_floor(30), "mart"))
+    parts.append(
+        _violations("unit_interval:part_d_annual.brand_cost_share", "brand_cost_share not between 0 and 1", "d")
+    )
+    parts.append("""
+select 'flag_rate:mart' as check_name, count(*) as n_violations
+from (select count(*) filter (where is_outlier_any_mad) as flagged, count(*) as total from mart)
+where total > 0 and flagged >= 0.08 * total""")
+    return UNION.join(parts)
+
+
+BODIES["model_checks"] = _model_checks()
+
 ORACLES = {name: _with_relations(body) for name, body in BODIES.items()}

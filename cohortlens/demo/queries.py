@@ -30,7 +30,7 @@ from cohortlens.functions import (
 )
 from cohortlens.operators.relational import all_ids, dominant, histogram
 from cohortlens.operators.robust import group_medians, robust_stats, with_group_median
-from cohortlens.plans import marts, metering, profile, quality, reports, rollups, staging
+from cohortlens.plans import marts, metering, model_checks, profile, quality, reports, rollups, staging
 from cohortlens.session import Workspace
 from cohortlens.sources import catalog, loadchecks, readers, writers
 from cohortlens.sources.schemas import REGISTRY_HEADERS, all_text
@@ -550,6 +550,12 @@ def peer_group_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(reports.peer_group_diagnostics(build(spark, sf_dir).mart))
 
 
+@query
+def peer_group_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The diagnostics with limits tight enough to report groups of these tables."""
+    return rounded(reports.peer_group_diagnostics(build(spark, sf_dir).mart, max_rate=3, min_mad=400_000))
+
+
 @query
 def flag_share_by_specialty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.flag_share_by_specialty(build(spark, sf_dir).mart)
@@ -775,6 +781,11 @@ def extract_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def model_checks_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model_checks.model_checks(build(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- metering
 
 

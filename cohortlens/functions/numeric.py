@@ -11,9 +11,9 @@ def try_to_int(c: Column) -> Column:
     """Whole number from text; fractions round half up, anything unreadable is null.
 
     A plain ``try_cast('12.7' as int)`` gives null in Spark, and published service counts do
-    carry fractions, so the text is read as a decimal first.
+    carry fractions. Most texts are whole numbers, though, so only the others are read as decimals.
     """
-    return F.round(c.try_cast(T.DecimalType(38, 6))).try_cast("bigint")
+    return F.coalesce(c.try_cast("bigint"), F.round(c.try_cast(T.DecimalType(38, 6))).try_cast("bigint"))
 
 
 def try_to_dec(c: Column, precision: int, scale: int) -> Column:

@@ -26,7 +26,8 @@ def check_unique(df: DataFrame, column: str) -> DataFrame:
     return values.agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
-def _unaccepted(column: str, values: Sequence[str]) -> Column:
+def is_unaccepted(column: str, values: Sequence[str]) -> Column:
+    """Present, but none of the accepted values."""
     return F.col(column).isNotNull() & ~F.col(column).isin(*values)
 
 
@@ -35,7 +36,7 @@ def check_accepted(
 ) -> DataFrame:
     """Values outside the accepted ones; nulls are a matter of ``check_not_null``."""
     rows = df if where is None else df.filter(where)
-    return rows.filter(_unaccepted(column, values))
+    return rows.filter(is_unaccepted(column, values))
 
 
 def check_relationships(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -43,7 +44,8 @@ def check_relationships(child: DataFrame, parent: DataFrame, key: str) -> DataFr
     return child.filter(F.col(key).isNotNull()).join(parent.select(key), key, "left_anti")
 
 
-def _below_floor(floor: int) -> Column:
+def is_below_floor(floor: int) -> Column:
+    """Flagged on some metric against fewer peers than the floor, or in too small a group."""
     broken = [
         F.coalesce(F.col(f"outlier_{rule}_{m.name}"), F.lit(False)) & (F.col(m.peer_n) < floor)
         for rule in ("mad", "zscore")
@@ -55,7 +57,7 @@ def _below_floor(floor: int) -> Column:
 def check_floor(mart: DataFrame, floor: int = 30) -> DataFrame:
     """Entities flagged against fewer peers than the floor allows, on any metric."""
     counts = dict.fromkeys(m.peer_n for m in METRICS)
-    return mart.filter(_below_floor(floor)).select("npi", "specialty", "state", "peer_group_n", *counts)
+    return mart.filter(is_below_floor(floor)).select("npi", "specialty", "state", "peer_group_n", *counts)
 
 
 def check_unit_interval(df: DataFrame, column: str = "brand_cost_share") -> DataFrame:
@@ -81,7 +83,7 @@ def check_flag_rate(mart: DataFrame, ceiling: float = 0.08) -> DataFrame:
 SUMMARY = ("check_name", "n_violations")
 
 
-def _summary(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
+def summary(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
     """Several counts over one table in one pass, as (check, violations) rows."""
     totals = df.agg(*[c.alias(f"_{i}") for i, c in enumerate(counts.values())])
     rows = [
@@ -98,7 +100,7 @@ def count_violations(name: str, violations: DataFrame) -> DataFrame:
 def not_null_summary(tables: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     return union_all(
         [
-            _summary(df, {f"{table}.{c}": count_if(F.col(c).isNull()) for c in columns})
+            summary(df, {f"{table}.{c}": count_if(F.col(c).isNull()) for c in columns})
             for table, (df, columns) in tables.items()
         ]
     )
@@ -115,9 +117,9 @@ def accepted_summary(
 ) -> DataFrame:
     return union_all(
         [
-            _summary(
+            summary(
                 df if where is None else df.filter(where),
-                {f"{table}.{c}": count_if(_unaccepted(c, values)) for c, values in columns.items()},
+                {f"{table}.{c}": count_if(is_unaccepted(c, values)) for c, values in columns.items()},
             )
             for table, (df, columns, where) in tables.items()
         ]
@@ -131,7 +133,7 @@ def relationship_summary(children: dict[str, DataFrame], parent: DataFrame, key:
 
 
 def floor_summary(mart: DataFrame, floor: int = 30) -> DataFrame:
-    return _summary(mart, {"peer_floor": count_if(_below_floor(floor))})
+    return summary(mart, {"peer_floor": count_if(is_below_floor(floor))})
 
 
 def check_extracts(

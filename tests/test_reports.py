@@ -168,3 +168,15 @@ def test_daily_usage_window_starts_at_midnight(spark):
     )
     got = [(str(r.usage_date), r.credits) for r in metering.daily_usage(meter, "2024-01-31 12:00:00").collect()]
     assert got == [("2024-01-31 00:00:00", 2.0), ("2024-01-01 00:00:00", 1.0)]
+
+
+def test_model_checks_cover_the_declared_tests_and_pass(model):
+    from cohortlens.plans.model_checks import DECLARED, model_checks
+
+    assert sum(len(c.not_null) for c in DECLARED.values()) == 38
+    assert sum(len(c.unique) for c in DECLARED.values()) == 8
+    assert sum(len(c.accepted) for c in DECLARED.values()) == 4
+    assert sum(c.in_dimension for c in DECLARED.values()) == 3
+    rows = model_checks(model).collect()
+    assert len(rows) == len({r.check_name for r in rows}) == 53 + 3
+    assert {r.check_name for r in rows if r.n_violations} == set()
