@@ -39,8 +39,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 REGISTERED: dict[str, Query] = {}
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
 
 def query(function: Query) -> Query:
     """Register a query under its function's name, with plain output types.
@@ -59,7 +57,7 @@ def plain(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.DecimalType):
             columns.append(f"cast({name} as double) as {name}")
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            columns.append(f"date_format({name}, '{TIMESTAMP_FORMAT}') as {name}")
+            columns.append(f"left(cast({name} as string), 19) as {name}")
         elif isinstance(field.dataType, T.DateType):
             columns.append(f"cast({name} as string) as {name}")
         else:

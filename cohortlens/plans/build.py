@@ -6,6 +6,7 @@ built when it is first asked for, so a report pays only for what it needs.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -55,9 +56,11 @@ class Build:
 
     @cached_property
     def profile_with_facts(self) -> DataFrame:
-        joined = profile.profile_with_facts(
-            self.stg_registry, self.part_d_annual, self.part_b_annual, self.taxonomy
-        )
+        # The rollups do not depend on each other: submitted together, one fills the gaps of the other.
+        with ThreadPoolExecutor(2) as pool:
+            rollup_tables = pool.map(lambda name: getattr(self, name), ("part_d_annual", "part_b_annual"))
+            part_d, part_b = rollup_tables
+        joined = profile.profile_with_facts(self.stg_registry, part_d, part_b, self.taxonomy)
         return self.workspace.write(joined, "provider_profile")
 
     @property

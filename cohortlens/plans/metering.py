@@ -22,7 +22,8 @@ def _since(now: datetime | str, days: int) -> Column:
 
 def daily_usage(meter: DataFrame, now: datetime | str, days: int = 30) -> DataFrame:
     """Credits per day and warehouse."""
-    day = F.date_trunc("day", "start_time").cast("timestamp_ntz")
+    # Through the date: truncating a time without zone would go through the session's zone.
+    day = F.col("start_time").cast("date").cast("timestamp_ntz")
     return (
         meter.filter(_since(now, days))
         .groupBy(day.alias("usage_date"), "warehouse_name")

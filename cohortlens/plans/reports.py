@@ -156,18 +156,41 @@ def flag_rate_by_key(
     config: OutlierConfig = OutlierConfig(),
     metrics: Sequence[Metric] = METRICS,
 ) -> DataFrame:
-    """The same rules under different grouping keys: groups, scored entities, flag rate."""
-    rows = {}
-    for label, keys in keyings.items():
-        stats = workspace.write(marts.group_stats(population, keys, metrics, workspace, config), "stats")
-        scored = marts.score(population.select(*dict.fromkeys([*keys, *[m.value for m in metrics]])), stats, keys, metrics, config)
-        rows[label] = scored.agg(
-            F.count_distinct(*keys).alias("peer_groups"),
+    """The same rules under different grouping keys: groups, scored entities, flag rate.
+
+    Every row takes part once per keying, so that all keyings are covered by the same passes.
+    """
+    groupings = [
+        F.struct(
+            F.lit(label).alias("grouping_key"),
+            F.array(*[F.col(k).cast("string") for k in keys]).alias("group_values"),
+        )
+        for label, keys in keyings.items()
+    ]
+    values = dict.fromkeys(m.value for m in metrics)
+    keyed = population.select(*values, F.inline(F.array(*groupings))).filter(
+        F.forall("group_values", lambda v: v.isNotNull())
+    )
+    keys = ("grouping_key", "group_values")
+    stats = workspace.write(marts.group_stats(keyed, keys, metrics, workspace, config), "stats")
+    found = (
+        marts.score(keyed, stats, keys, metrics, config)
+        .groupBy("grouping_key")
+        .agg(
+            F.count_distinct("group_values").alias("peer_groups"),
             F.count("*").alias("providers"),
             count_if(F.col("is_outlier_any_mad")).alias("flagged_mad"),
             pct(count_if(F.col("is_outlier_any_mad")), F.count("*")).alias("pct_flagged_mad"),
         )
-    return labelled_union("grouping_key", rows)
+    )
+    # A keying without any group of sufficient size is reported as well.
+    labels = F.explode(F.array(*[F.lit(label) for label in keyings])).alias("grouping_key")
+    every = stats.sparkSession.range(1).select(labels)
+    return every.join(found, "grouping_key", "left").select(
+        "grouping_key",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("peer_groups", "providers", "flagged_mad")],
+        "pct_flagged_mad",
+    )
 
 
 # ---------------------------------------------------------------- ranked lists
