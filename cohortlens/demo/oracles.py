@@ -659,6 +659,17 @@ order by mart.mz_drug_cost desc, npi limit 10""",
 select * replace ({_r('modified_z_score', 'modified_z_score')}) from (
     select * from melted
     qualify row_number() over (partition by metric order by abs(modified_z_score) desc, npi) <= 100)""",
+    "ranked_extract": f"""
+select {RANKED}, peer_n_metric, metric_value, {_r("modified_z_score", "modified_z_score")}
+from (select * from melted
+      qualify row_number() over (partition by metric order by abs(modified_z_score) desc, npi) <= 1000) m
+where metric = 'avg_cost_per_claim' and abs(m.modified_z_score) >= 2.5 and state in ('AM', 'EU', 'MI')
+order by abs(m.modified_z_score) desc, npi limit 1000""",
+    "drill_down": f"""
+select provider_full_name, specialty, state, city, {_num("total_drug_cost")}, {_r("mz_drug_cost", "mz_drug_cost")},
+    part_d_total_claims, brand_cost_share, {_num("total_medicare_payment")}, peer_group_n
+from demo where provider_full_name =
+    (select provider_full_name from demo d1 order by d1.mz_drug_cost desc, npi limit 1)""",
     "equal_width_histogram": """
 select metric, floor(modified_z_score / 0.5::double) * 0.5::double as bin_start, count(*) as n
 from (select * from melted

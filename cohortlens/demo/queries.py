@@ -636,6 +636,13 @@ def top_n_per_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(reports.top_n_per_metric(build(spark, sf_dir).mart, n=100), "metric_value")
 
 
+@query
+def ranked_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extract = reports.top_n_per_metric(build(spark, sf_dir).mart)
+    ranked = reports.rank_extract(extract, "avg_cost_per_claim", threshold=2.5, states=["AM", "EU", "MI"])
+    return rounded(ranked, "metric_value")
+
+
 @query
 def equal_width_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = reports.top_n_per_metric(build(spark, sf_dir).mart)
@@ -654,14 +661,26 @@ def peer_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.peer_distribution(mart, reports.demo_selection(mart))
 
 
+def _first_selected(selected: DataFrame) -> str:
+    """Name of the most extreme of a few selected entities."""
+    first = selected.orderBy(F.col("mz_drug_cost").desc(), "npi").select("provider_full_name").first()
+    return first[0] if first else ""
+
+
 @query
 def cost_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cost bands of the peers of the most extreme selected entity, chosen by its name."""
     b = build(spark, sf_dir)
     selected = b.workspace.write(reports.demo_selection(b.mart), "selected")
     distribution = reports.peer_distribution(b.mart, selected)
-    first = selected.orderBy(F.col("mz_drug_cost").desc(), "npi").select("provider_full_name").first()
-    return reports.cost_bands(distribution, selected, first[0] if first else "")
+    return reports.cost_bands(distribution, selected, _first_selected(selected))
+
+
+@query
+def drill_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = build(spark, sf_dir)
+    providers = b.workspace.write(reports.demo_providers(b.mart, b.dim_provider), "demo_providers")
+    return rounded(reports.drill_down(providers, _first_selected(providers)), "brand_cost_share")
 
 
 @query

@@ -212,6 +212,22 @@ def select_metric(mart: DataFrame, metric: str) -> DataFrame:
     )
 
 
+def _ranked(
+    rows: DataFrame,
+    threshold: float,
+    min_peer_n: int,
+    specialties: Sequence[str] | None,
+    states: Sequence[str] | None,
+    limit: int,
+) -> DataFrame:
+    rows = rows.filter((F.col("peer_n_metric") >= min_peer_n) & (F.abs("modified_z_score") >= threshold))
+    if specialties:
+        rows = rows.filter(F.col("specialty").isin(*specialties))
+    if states:
+        rows = rows.filter(F.col("state").isin(*states))
+    return rows.orderBy(F.abs("modified_z_score").desc_nulls_last(), "npi").limit(limit)
+
+
 def rank_outliers(
     mart: DataFrame,
     metric: str = "total_drug_cost",
@@ -222,14 +238,37 @@ def rank_outliers(
     limit: int = 1000,
 ) -> DataFrame:
     """Most extreme entities on one metric; empty filters admit everything."""
-    rows = select_metric(mart, metric).filter(
-        (F.col("peer_n_metric") >= min_peer_n) & (F.abs("modified_z_score") >= threshold)
+    return _ranked(select_metric(mart, metric), threshold, min_peer_n, specialties, states, limit)
+
+
+def rank_extract(
+    extract: DataFrame,
+    metric: str = "total_drug_cost",
+    threshold: float = 3.5,
+    min_peer_n: int = 30,
+    specialties: Sequence[str] | None = None,
+    states: Sequence[str] | None = None,
+    limit: int = 1000,
+) -> DataFrame:
+    """The same list out of the top-n extract; filters narrow that extract, not the mart."""
+    rows = extract.filter(F.col("metric") == metric).drop("metric")
+    return _ranked(rows, threshold, min_peer_n, specialties, states, limit)
+
+
+def drill_down(providers: DataFrame, name: str) -> DataFrame:
+    """The headline values of one selected entity, by its display name."""
+    return providers.filter(F.col("provider_full_name") == name).select(
+        "provider_full_name",
+        "specialty",
+        "state",
+        "city",
+        "total_drug_cost",
+        "mz_drug_cost",
+        "part_d_total_claims",
+        "brand_cost_share",
+        "total_medicare_payment",
+        "peer_group_n",
     )
-    if specialties:
-        rows = rows.filter(F.col("specialty").isin(*specialties))
-    if states:
-        rows = rows.filter(F.col("state").isin(*states))
-    return rows.orderBy(F.abs("modified_z_score").desc_nulls_last(), "npi").limit(limit)
 
 
 def top_outliers(mart: DataFrame, n: int = 100) -> DataFrame:

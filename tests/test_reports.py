@@ -180,3 +180,17 @@ def test_model_checks_cover_the_declared_tests_and_pass(model):
     rows = model_checks(model).collect()
     assert len(rows) == len({r.check_name for r in rows}) == 53 + 3
     assert {r.check_name for r in rows if r.n_violations} == set()
+
+
+def test_ranking_an_extract_gives_the_live_list(model):
+    extract = reports.top_n_per_metric(model.mart)
+    for metric in ("total_drug_cost", "brand_cost_share"):
+        live = reports.rank_outliers(model.mart, metric, threshold=1.0, limit=50)
+        served = reports.rank_extract(extract, metric, threshold=1.0, limit=50)
+        assert [r.npi for r in served.collect()] == [r.npi for r in live.collect()]
+
+
+def test_drill_down_by_name(model):
+    providers = reports.demo_providers(model.mart, model.dim_provider)
+    name = providers.collect()[0].provider_full_name
+    assert [r.provider_full_name for r in reports.drill_down(providers, name).collect()] == [name]
