@@ -321,12 +321,12 @@ def find_provider(
 def _with_taxonomy(rows: DataFrame, dim: DataFrame) -> DataFrame:
     """Add the dimension's taxonomy attributes to a short, limited list.
 
-    The list is broadcast to find its entries, which are then no more than the list itself; the
-    dimension is scanned but not shuffled.
+    The planner knows a limited list to be small and broadcasts it to find its entries, so the
+    dimension is scanned but not shuffled. The few entries are then joined back.
     """
     attributes = ("nucc_grouping", "nucc_classification", "nucc_specialization")
-    entries = dim.select("npi", *attributes).join(F.broadcast(rows.select("npi")), "npi")
-    return rows.join(F.broadcast(entries), "npi", "left").select(*rows.columns, *attributes)
+    entries = dim.select("npi", *attributes).join(rows.select("npi"), "npi")
+    return rows.join(entries, "npi", "left").select(*rows.columns, *attributes)
 
 
 def filter_options(df: DataFrame, column: str) -> DataFrame:
@@ -396,16 +396,16 @@ def peer_distribution(
 ) -> DataFrame:
     """Drug cost of each selected entity and of all its peers, as labelled series.
 
-    ``selected`` is a short, limited list: it is broadcast, and the mart is not shuffled however
-    large a peer group is. Peers are matched on ``keys``; pass the taxonomy code instead of the
-    display name where names are not one-to-one.
+    While ``selected`` is a short, limited list the planner broadcasts it, and the mart is not
+    shuffled however large a peer group is. Peers are matched on ``keys``; pass the taxonomy code
+    instead of the display name where names are not one-to-one.
     """
     own = selected.select(F.col("npi").alias("demo_npi"), F.col("total_drug_cost").alias("value"))
     peers = mart.filter(F.col("total_drug_cost").isNotNull()).select(
         *keys, F.col("total_drug_cost").alias("value")
     )
     wanted = selected.select(F.col("npi").alias("demo_npi"), *keys)
-    matched = peers.join(F.broadcast(wanted), list(keys)).select("demo_npi", "value")
+    matched = peers.join(wanted, list(keys)).select("demo_npi", "value")
     return labelled_union("series", {"this_provider": own, "peer_group": matched}).select(
         "demo_npi", "series", "value"
     )
@@ -435,7 +435,7 @@ def peer_position(
     medians = group_medians(peers, ["demo_npi"], ["value"], workspace)
     own = series.filter(F.col("series") == "this_provider").select("demo_npi", F.col("value").alias("own_value"))
     counted = (
-        peers.join(F.broadcast(own), "demo_npi")
+        peers.join(own, "demo_npi")
         .groupBy("demo_npi", "own_value")
         .agg(
             F.count("*").alias("n_peers"),

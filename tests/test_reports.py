@@ -95,6 +95,15 @@ def test_peer_distribution_holds_every_peer(model):
     assert counts == {r.npi: r.peer_n_part_d for r in demo.collect()}
 
 
+def test_limited_lists_are_broadcast_without_shuffling_the_mart(model):
+    distribution = reports.peer_distribution(model.mart, reports.demo_selection(model.mart))
+    lookup = model.dim_provider.join(reports.demo_selection(model.mart).select("npi"), "npi")
+    for df in (distribution, lookup):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+        assert "Exchange hashpartitioning" not in plan
+
+
 def test_position_agrees_with_the_mart(model):
     demo = reports.demo_selection(model.mart, 3)
     keys = ("taxonomy_code", "state")
