@@ -16,9 +16,9 @@ def values(spark, expression, rows, schema):
 
 
 def test_try_to_int_rounds_half_up_and_forgives(spark):
-    rows = [("12.5",), ("12.4",), ("-12.5",), ("7",), ("*",), ("",), ("1,234",), (None,), ("1e3",)]
+    rows = [("12.5",), ("12.4999999",), ("-12.5",), ("7",), ("*",), ("",), ("1,234",), (None,), ("1e3",), ("9" * 30,)]
     assert values(spark, fn.try_to_int(F.col("c")), rows, "c string") == [
-        13, 12, -13, 7, None, None, None, None, 1000,
+        13, 12, -13, 7, None, None, None, None, 1000, None,
     ]
 
 
