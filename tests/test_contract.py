@@ -13,13 +13,14 @@ def other_engine(sf_dir):
     connection.close()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.REGISTERED))
 def test_query_agrees_with_its_twin(spark, other_engine, sf_dir, name):
     assert compare(spark, other_engine, name, sf_dir) == ""
 
 
 def test_every_query_has_a_twin():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.REGISTERED) == set(contract.ORACLES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_scores_the_smallest_inputs(spark):
