@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-from . import mixing, rules, simhash
+from . import mixing, packing, rules, simhash
+
+# Name of the public tokenizer's file; its folder is asked of the package that brings it.
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +22,16 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.rules_report(table(spark, sf_dir, "documents"))
 
@@ -32,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op3_simhash_near_dedup,
+        op6_pattern_packing,
         op7_quality_rules,
         op8_source_mixing,
     )
