@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-from . import mixing, packing, rules, simhash
+from . import langid, mixing, packing, rules, simhash
 
 # Name of the public tokenizer's file; its folder is asked of the package that brings it.
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -44,6 +48,7 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_language_id,
         op3_simhash_near_dedup,
         op6_pattern_packing,
         op7_quality_rules,
