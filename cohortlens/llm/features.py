@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 
-from .langid import grams, letters, sliced
+from .langid import LAST_LETTER, letters, sliced
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -33,14 +33,9 @@ def _kinds() -> np.ndarray:
     """Kind of each code point: 0 lower-case or uncased letter, 1 upper case, 2 digit, 3 white space, 4 symbol, 5 '!', 6 other."""
     if "table" not in _KINDS:
         table = np.full(0x110000, 6, dtype=np.uint8)
-        for point in range(0x110000):
-            character = chr(point)
-            if character.isalpha():
-                table[point] = 1 if character.isupper() else 0
-            elif character.isdigit():
-                table[point] = 2
-            elif character.isspace():
-                table[point] = 3
+        characters = [chr(point) for point in range(LAST_LETTER)]
+        for kind, test in ((0, str.isalpha), (1, str.isupper), (2, str.isdigit), (3, str.isspace)):
+            table[:LAST_LETTER][np.fromiter(map(test, characters), dtype=bool, count=LAST_LETTER)] = kind
         table[_SYMBOLS] = 4
         table[ord("!")] = 5
         _KINDS["table"] = table
@@ -80,8 +75,18 @@ def shape(text: str | None) -> np.ndarray:
 
 
 def buckets_of(text: str | None, low: int, high: int, size: int) -> list[np.ndarray]:
-    """Buckets of all letter n-grams of ``low`` to ``high`` characters, word ends counting as characters."""
+    """Buckets of the word beginnings of ``low`` to ``high`` letters, shorter words as a whole, their ends marked."""
     found = []
+    shift = np.uint64(64 - (size.bit_length() - 1))
     for part in sliced(text or ""):
-        found += grams(letters(part), high, size)[low - 1 :]
+        code = letters(part).astype(np.uint64)
+        at = np.flatnonzero(code[:-1] == 32)
+        hashed = np.zeros(len(at), dtype=np.uint64)
+        for k in range(1, high + 1):
+            character = code[at + k]
+            hashed = hashed * np.uint64(0x9E3779B97F4A7C15) + (character + np.uint64(k)) * np.uint64(0xD6E8FEB86659FD93)
+            mixed = (hashed ^ (hashed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            ended = character == 32
+            found.append((mixed[ended | (k >= low)] >> shift).astype(np.int64))
+            at, hashed = at[~ended], hashed[~ended]
     return found

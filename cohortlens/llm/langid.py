@@ -36,6 +36,9 @@ UNKNOWN = "und"
 # Characters handled in one numpy step.
 SLICE = 1 << 17
 
+# Beyond this code point there are no letters.
+LAST_LETTER = 0x34000
+
 _TABLES: dict[str, np.ndarray] = {}
 
 
@@ -43,11 +46,11 @@ def letter_table() -> np.ndarray:
     """For each code point its lower-case form if it is a letter, else a blank."""
     if "letters" not in _TABLES:
         table = np.full(0x110000, 32, dtype=np.uint32)
-        for point in range(0x110000):
-            character = chr(point)
-            if character.isalpha():
-                low = character.lower()
-                table[point] = ord(low) if len(low) == 1 else point
+        characters = [chr(point) for point in range(LAST_LETTER)]
+        is_letter = np.fromiter(map(str.isalpha, characters), dtype=bool, count=LAST_LETTER)
+        for point in np.flatnonzero(is_letter):
+            low = characters[point].lower()
+            table[point] = ord(low) if len(low) == 1 else point
         _TABLES["letters"] = table
     return _TABLES["letters"]
 

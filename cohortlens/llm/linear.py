@@ -60,7 +60,7 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 50) ->
 
 
 def fit_sparse(
-    indptr: np.ndarray, indices: np.ndarray, dense: np.ndarray, y: np.ndarray, width: int, penalty: float = 0.05, steps: int = 300
+    indptr: np.ndarray, indices: np.ndarray, dense: np.ndarray, y: np.ndarray, width: int, penalty: float = 0.01, steps: int = 300
 ) -> np.ndarray:
     """Like ``fit`` with ``width`` binary features given as rows of indices, before the dense ones.
 

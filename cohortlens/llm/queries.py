@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from . import ann, langid, mixing, packing, quality, rules, simhash
+from . import ann, langid, mixing, packing, quality, rules, simhash, toxicity
 
 # Name of the public tokenizer's file; its folder is asked of the package that brings it.
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,6 +36,10 @@ def op4_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs, labels, host=F.col("source"), path=F.col("lang")).drop("mark")
 
 
+def op5_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_language_id,
         op3_simhash_near_dedup,
         op4_site_quality,
+        op5_toxicity_chain,
         op6_pattern_packing,
         op7_quality_rules,
         op8_source_mixing,
