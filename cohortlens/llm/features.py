@@ -7,6 +7,7 @@ import re
 import numpy as np
 
 from .langid import LAST_LETTER, letters, sliced
+from .text import per_process
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -26,20 +27,16 @@ SHAPE = (
 )
 
 _SYMBOLS = np.frombuffer(b"#*$%&|<>", dtype=np.uint8)
-_KINDS: dict[str, np.ndarray] = {}
-
 
 def _kinds() -> np.ndarray:
     """Kind of each code point: 0 lower-case or uncased letter, 1 upper case, 2 digit, 3 white space, 4 symbol, 5 '!', 6 other."""
-    if "table" not in _KINDS:
-        table = np.full(0x110000, 6, dtype=np.uint8)
-        characters = [chr(point) for point in range(LAST_LETTER)]
-        for kind, test in ((0, str.isalpha), (1, str.isupper), (2, str.isdigit), (3, str.isspace)):
-            table[:LAST_LETTER][np.fromiter(map(test, characters), dtype=bool, count=LAST_LETTER)] = kind
-        table[_SYMBOLS] = 4
-        table[ord("!")] = 5
-        _KINDS["table"] = table
-    return _KINDS["table"]
+    table = np.full(0x110000, 6, dtype=np.uint8)
+    characters = [chr(point) for point in range(LAST_LETTER)]
+    for kind, test in ((0, str.isalpha), (1, str.isupper), (2, str.isdigit), (3, str.isspace)):
+        table[:LAST_LETTER][np.fromiter(map(test, characters), dtype=bool, count=LAST_LETTER)] = kind
+    table[_SYMBOLS] = 4
+    table[ord("!")] = 5
+    return table
 
 
 def shape(text: str | None) -> np.ndarray:
@@ -49,10 +46,11 @@ def shape(text: str | None) -> np.ndarray:
     n = len(words)
     if not n:
         return result
+    kinds = per_process("kinds", _kinds)
     counts = np.zeros(7, dtype=np.int64)
     for part in sliced(text):
         points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        counts += np.bincount(_kinds()[points], minlength=7)
+        counts += np.bincount(kinds[points], minlength=7)
     written = max(1, int(counts.sum() - counts[3]))
     lines = [line for line in text.split("\n") if line and not line.isspace()]
     distinct = len(set(words))

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import remainder
+from .text import per_process, remainder
 
 BUCKETS = 1 << 16
 ORDERS = 4
@@ -39,20 +39,20 @@ SLICE = 1 << 17
 # Beyond this code point there are no letters.
 LAST_LETTER = 0x34000
 
-_TABLES: dict[str, np.ndarray] = {}
-
 
 def letter_table() -> np.ndarray:
     """For each code point its lower-case form if it is a letter, else a blank."""
-    if "letters" not in _TABLES:
-        table = np.full(0x110000, 32, dtype=np.uint32)
-        characters = [chr(point) for point in range(LAST_LETTER)]
-        is_letter = np.fromiter(map(str.isalpha, characters), dtype=bool, count=LAST_LETTER)
-        for point in np.flatnonzero(is_letter):
-            low = characters[point].lower()
-            table[point] = ord(low) if len(low) == 1 else point
-        _TABLES["letters"] = table
-    return _TABLES["letters"]
+    return per_process("letters", _letter_table)
+
+
+def _letter_table() -> np.ndarray:
+    table = np.full(0x110000, 32, dtype=np.uint32)
+    characters = [chr(point) for point in range(LAST_LETTER)]
+    is_letter = np.fromiter(map(str.isalpha, characters), dtype=bool, count=LAST_LETTER)
+    for point in np.flatnonzero(is_letter):
+        low = characters[point].lower()
+        table[point] = ord(low) if len(low) == 1 else point
+    return table
 
 
 def letters(text: str) -> np.ndarray:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,3 +28,15 @@ def word_count(text: Column) -> Column:
 def remainder(key: Column, modulus: int) -> Column:
     """crc32 of a key written as text, modulo ``modulus``; null keys count as the empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def per_process(name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, kept as long as the Python process lives.
+
+    Task functions travel by value, so that their module's variables last for one task only; a worker
+    process serves many. Only for what depends on nothing but ``name``.
+    """
+    held = vars(sys).setdefault("_cohortlens_llm", {})
+    if name not in held:
+        held[name] = make()
+    return held[name]
