@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from . import ann, langid, lm, mixing, packing, quality, rules, simhash, toxicity
+from . import ann, html_text, langid, lm, mixing, packing, quality, rules, simhash, toxicity
 
 # Name of the public tokenizer's file; its folder is asked of the package that brings it.
 TOKENIZER = "byte_bpe_50k.json"
@@ -59,6 +59,10 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_host_suffix_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_context_mixing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_pattern_packing,
         op7_quality_rules,
         op8_source_mixing,
+        op9_host_suffix_text,
         op10_context_mixing_scores,
     )
 }
