@@ -13,7 +13,7 @@ a running sum of the tasks' counts gives the start of each. The n-th piece of a
 sequence and offset by binary search in the plan, which is broadcast.
 
 Tokenizing is the bulk of the work. Text is cut before single blanks, where the tokenizer always
-starts a new unit, and the ids of each such chunk are remembered; texts with runs of white space at a
+starts a new unit, and the ids of each such chunk are remembered while the worker lives; texts with runs of white space at a
 blank, where that does not hold, go to the tokenizer whole.
 
 Defined results: a null text is an empty one: a single piece that holds the end id. Repeated rows
@@ -37,12 +37,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import Workspace
+from .text import per_process
 
 CAPACITY = 2048
 END_ID = 0
 
-# Chunks whose ids a task remembers at a time, about 100 MB.
-REMEMBERED = 400_000
+# Chunks whose ids a worker remembers at a time, and as many words: about 200 MB.
+REMEMBERED = 500_000
+
+# What a word may follow, as byte-level vocabularies write it; words encoded as one text.
+LEADS = {" ": "\u0120", "\n": "\u010a"}
+JOINED = 4096
+
+# Marks that a word may end with.
+MARKS = ".,;:!?%&$#*|\"()[]{}<>/=+-_"
 
 # Triples enumerated per longest length, and steps of the least-squares fit.
 TRIPLES = 12
@@ -60,27 +68,73 @@ class ChunkedTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        # Tokens that start with a blank, or with a line break.
+        vocabulary = self.tokenizer.get_vocab()
+        self.starts = {lead: np.zeros(max(vocabulary.values()) + 1, dtype=bool) for lead in LEADS}
+        for lead, sign in LEADS.items():
+            self.starts[lead][[i for token, i in vocabulary.items() if token.startswith(sign)]] = True
+        # Ids of a blank and the chunk, of a lead and a word, of the marks after a word.
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.remembered = remembered
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(one.ids, dtype="<u4").tobytes() for one in found]
 
+    def _add_words(self, words: list[str], lead: str) -> None:
+        """Adds words with their lead, encoded as one text and told apart by the leads."""
+        for i in range(0, len(words), JOINED):
+            some = words[i : i + JOINED]
+            found = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)
+            ids = np.asarray(found[0].ids, dtype="<u4")
+            bounds = [*(4 * np.flatnonzero(self.starts[lead][ids])).tolist(), 4 * len(ids)]
+            if len(bounds) != len(some) + 1:
+                raise ValueError("the tokenizer does not start units at blanks and line breaks")
+            data = ids.tobytes()
+            self.words.update(zip(some, map(data.__getitem__, map(slice, bounds, bounds[1:])), strict=True))
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Adds chunks that are not known: lines of one word of letters with marks after it, or anything else.
+
+        Units of the tokenizer end between letters and marks, and before a line break between other
+        characters than white space; so the ids of such a chunk are those of its parts.
+        """
+        for held in (self.chunks, self.words, self.tails):
+            if len(held) > self.remembered:
+                held.clear()
+        divided, odd = [], []
+        for chunk in set(chunks).difference(self.chunks):
+            parts, lead = [], " "
+            for line in chunk.split("\n"):
+                word = line.rstrip(MARKS)
+                if not word.isalpha():
+                    odd.append(chunk)
+                    break
+                parts.append((lead + word, line[len(word) :]))
+                lead = "\n"
+            else:
+                divided.append((chunk, parts))
+        words = {word for _, parts in divided for word, _ in parts}.difference(self.words)
+        for lead in LEADS:
+            self._add_words([word for word in words if word[0] == lead], lead)
+        tails = [*{tail for _, parts in divided for _, tail in parts}.difference(self.tails)]
+        self.tails.update(zip(tails, self._encoded(tails), strict=True))
+        self.chunks.update(zip(odd, self._encoded([" " + chunk for chunk in odd]), strict=True))
+        for chunk, parts in divided:
+            self.chunks[chunk] = b"".join([self.words[word] + self.tails[tail] for word, tail in parts])
+
     def ids(self, text: str) -> bytes:
         if _UNSAFE.search(text):
             return self._encoded([text])[0]
         first, *rest = text.split(" ")
-        chunks = [first, *[" " + part for part in rest]]
-        known = self.known
+        head = self._encoded([first])[0] if first else b""
         try:
-            return b"".join(map(known.__getitem__, chunks))
+            return head + b"".join(map(self.chunks.__getitem__, rest))
         except KeyError:
-            if len(known) > self.remembered:
-                known.clear()
-            new = [chunk for chunk in dict.fromkeys(chunks) if chunk not in known]
-            known.update(zip(new, self._encoded(new), strict=True))
-            return b"".join(map(known.__getitem__, chunks))
+            self._learn(rest)
+            return head + b"".join(map(self.chunks.__getitem__, rest))
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -98,7 +152,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int, key: str, text: st
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = ChunkedTokenizer(tokenizer)
+        encoder = per_process(f"tokenizer {tokenizer}", lambda: ChunkedTokenizer(tokenizer))
         end = np.asarray([END_ID], dtype="<u4").tobytes()
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
