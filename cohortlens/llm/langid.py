@@ -128,7 +128,7 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> tuple[l
     documents = np.ones(len(names))
     place = {name: i for i, name in enumerate(names)}
     if names:
-        found = count_grams(labelled, text=text, lang=lang).toPandas()
+        found = count_grams(labelled, text=text, lang=lang).toArrow().to_pandas()
         column = found["lang"].map(place).to_numpy()
         bucket, n = found["bucket"].to_numpy(), found["n"].to_numpy()
         is_prior = bucket < 0

@@ -80,6 +80,11 @@ def _order(copy: int) -> Column:
     )
 
 
+def row_mark(key: str, text: str, source: str) -> Column:
+    """Hash by which equal rows are recognized."""
+    return F.xxhash64(F.col(key), F.col(source), F.col(text))
+
+
 def queued(docs: DataFrame, workspace: Workspace, *, weights, repeats, key: str, text: str, source: str) -> DataFrame:
     """Every document with its size, its source's size and target, and the words sent up to its end."""
     label = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
@@ -89,6 +94,7 @@ def queued(docs: DataFrame, workspace: Workspace, *, weights, repeats, key: str,
             F.col(source).alias("source"),
             word_count(F.col(text)).alias("size"),
             label.alias("shuffled"),
+            row_mark(key, text, source).alias("mark"),
         ).withColumn("slice", F.substring("shuffled", 1, SHUFFLE_DIGITS)),
         "sized",
     )
@@ -106,7 +112,7 @@ def queued(docs: DataFrame, workspace: Workspace, *, weights, repeats, key: str,
         sized.withColumn("upto", F.sum("size").over(within))
         .join(starts, F.expr("source <=> source_ AND slice = slice_"))
         .withColumn("sent", F.col("start") + F.col("upto"))
-        .select("key", "source", "size", "shuffled", "sent", "source_size", "place", "target"),
+        .select("key", "mark", "source", "size", "shuffled", "sent", "source_size", "place", "target"),
         "queued",
     )
 
@@ -164,7 +170,7 @@ def mix(
     source: str = "source",
     workspace: Workspace | None = None,
 ) -> DataFrame:
-    """One row per document: key, size, source, source_size, target, copies sent, words taken."""
+    """One row per document: key, size, source, source_size, target, copies sent, words taken, and ``mark``."""
     workspace = workspace or Workspace(docs.sparkSession)
     queue = queued(docs, workspace, weights=weights, repeats=repeats, key=key, text=text, source=source)
     last = _last_sent(queue, repeats)
@@ -181,4 +187,16 @@ def mix(
         F.col("target"),
         copies.cast("int").alias("copies"),
         (copies * F.col("size")).cast("long").alias("taken"),
+        "mark",
     )
+
+
+def mixed_rows(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The rows of the mix, each document as often as it is sent, with the columns it came with."""
+    workspace = options.setdefault("workspace", Workspace(docs.sparkSession))
+    found = mix(docs, key=key, text=text, source=source, **options)
+    # Equal rows are one row that is sent as often as all of them.
+    sent = workspace.write(found.groupBy("mark").agg(F.sum("copies").alias("copies")).filter("copies > 0"), "sent")
+    rows = docs.select(F.struct("*").alias("_row"), row_mark(key, text, source).alias("mark"))
+    each = rows.join(sent, "mark").dropDuplicates(["mark"])
+    return each.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("_row.*")

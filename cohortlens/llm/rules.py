@@ -152,5 +152,7 @@ def rules_report(
 
 def keep(docs: DataFrame, table: tuple[Rule, ...] = THRESHOLDS, *, text: str = "text") -> DataFrame:
     """The documents that pass, with the columns they came with."""
-    rows = measured(docs, F.col(text))
-    return rows.select("_row", "_m.*").filter(~base_failed() & verdict(table)).select("_row.*")
+    rows = measured(docs, F.col(text)).select("_row", "_m.*")
+    passes = ~base_failed() & verdict(table)
+    # Not a filter: that would be pushed below the measures and repeat them for every mention of one.
+    return rows.select(F.explode(F.when(passes, F.array("_row"))).alias("_row")).select("_row.*")

@@ -198,7 +198,7 @@ def train(
         return pd.DataFrame({"features": features, "shape": [shape(t) for t in texts]}, index=texts.index)
 
     ordered = rows.select("key", *names, described("text").alias("d")).select("key", *names, "d.*")
-    found = ordered.toPandas().sort_values("key", kind="stable")
+    found = ordered.toArrow().to_pandas().sort_values("key", kind="stable")
     features = [np.asarray(f, dtype=np.int64) for f in found["features"]]
     shapes = np.array(found["shape"].tolist(), dtype=float).reshape(-1, len(SHAPE))
     scale = linear.Standard(shapes)
