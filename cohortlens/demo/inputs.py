@@ -141,17 +141,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a scan that comes in only a few pieces.
-
-    A test file has a single row group, so everything up to the first shuffle would run in one
-    task. Inputs with at least as many splits as cores, and so all large ones, are left alone.
-    """
-    splits = df.rdd.getNumPartitions()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if splits >= cores else df.repartition(min(cores, 8 * splits), key)
-
-
 def _mapped(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{sql} as `{name}`" for name, sql in mapping.items()])
 
@@ -193,7 +182,7 @@ def part_d_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"
     )
     rows = (
-        spread(lines, "l_orderkey")
+        lines
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
     )
@@ -209,7 +198,7 @@ def part_b_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
-    return _mapped(spread(orders, "o_custkey"), PART_B)
+    return _mapped(orders, PART_B)
 
 
 def raw_part_b(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,11 +250,20 @@ def activity_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.join(activity, "npi", "left")
 
 
+# Tables that the model is built from.
+MODEL_TABLES = ("customer", "nation", "region", "orders", "part", "lineitem")
+
+
 def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
-    """Names, sizes and times of the input files, so that changed inputs are built anew."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+    """Names, sizes and times of all files of the model's tables, so that changed inputs are built anew."""
+    found = []
+    for name in MODEL_TABLES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
 
 
 _builds: dict[tuple, Build] = {}

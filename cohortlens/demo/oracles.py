@@ -576,6 +576,10 @@ select l_returnflag, l_linestatus, count(*) as n,
     round(median(l_extendedprice), 6) as median_l_extendedprice, round(median(l_quantity), 6) as median_l_quantity,
     round(mad(l_extendedprice), 6) as mad_l_extendedprice, round(mad(l_quantity), 6) as mad_l_quantity
 from lineitem group by 1, 2""",
+    "part_price_median": """
+select l_partkey, count(*) as n, round(median(l_extendedprice), 6) as median_l_extendedprice,
+    round(mad(l_extendedprice), 6) as mad_l_extendedprice
+from lineitem group by 1""",
     "peer_group_stats": f"""
 select stats.taxonomy_code as canonical_taxonomy_code, state, n_providers,
     {", ".join(_counts(METRICS))}, {_list(_stat(c) for c in STAT_COLUMNS)},

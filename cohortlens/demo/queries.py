@@ -435,12 +435,7 @@ def window_median(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_line_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Median and MAD straight over the detail rows, where a group is a fifth of the table."""
     workspace = Workspace(spark)
-    lines = inputs.spread(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_returnflag", "l_linestatus", "l_extendedprice", "l_quantity"
-        ),
-        "l_orderkey",
-    )
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_extendedprice", "l_quantity")
     stats = robust_stats(
         lines, ["l_returnflag", "l_linestatus"], ["l_extendedprice", "l_quantity"], workspace,
         extra=[F.count("*").alias("n")],
@@ -448,6 +443,15 @@ def order_line_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(stats)
 
 
+@query
+def part_price_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median and MAD over many small groups: the line prices of every part."""
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_extendedprice")
+    return rounded(
+        robust_stats(lines, ["l_partkey"], ["l_extendedprice"], Workspace(spark), extra=[F.count("*").alias("n")])
+    )
+
+
 @query
 def peer_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(build(spark, sf_dir).peer_group_stats)

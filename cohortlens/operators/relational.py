@@ -18,22 +18,16 @@ def dominant(attribute: str, weight: str) -> Column:
     return F.max_by(F.col(attribute), rank)
 
 
-# Rows of one group are first cut in this many slices when Spark would not cut them by itself.
-_SLICES = 64
-
-
 def top_n_per(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """First ``n`` rows of every group. ``order`` has to be total for repeatable results.
 
-    Up to a configured ``n`` Spark cuts every partition to ``n`` rows per group before the shuffle
-    (WindowGroupLimit). Beyond that a whole group would meet in one task, so each group is ranked in
-    slices first and only the best ``n`` of each slice are ranked together.
+    A large group would meet in one task. Each group is therefore ranked in slices first, as many as the
+    session has shuffle partitions, and only the best ``n`` of each slice are ranked together. Up to a
+    configured ``n`` Spark also cuts every partition before the shuffle (WindowGroupLimit).
     """
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > threshold:
-        slices = df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(_SLICES)))
-        df = _first_rows(slices, [*by, "_slice"], order, n).drop("_slice")
-    return _first_rows(df, by, order, n)
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(slices)))
+    return _first_rows(_first_rows(sliced, [*by, "_slice"], order, n).drop("_slice"), by, order, n)
 
 
 def _first_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

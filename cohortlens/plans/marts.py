@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import METRICS, PEER_KEYS, Metric, OutlierConfig
 from cohortlens.functions import any_of, gated_flag, modified_zscore, zscore
+from cohortlens.operators.joins import join_groups
 from cohortlens.operators.robust import robust_stats
 from cohortlens.session import Workspace
 
@@ -109,11 +110,14 @@ def score(
     keys: Sequence[str],
     metrics: Sequence[Metric],
     config: OutlierConfig = OutlierConfig(),
+    *,
+    spread: bool = False,
 ) -> DataFrame:
     """Add peer statistics, scores and flags to every member of a group in ``stats``.
 
     The join is left to the planner: a small written statistics table is broadcast, a large one is
-    joined by key, where AQE splits an oversized group.
+    joined by key, where AQE splits an oversized group. AQE may not do so where an aggregate by the same
+    keys follows; with ``spread`` oversized groups are joined in slices instead.
     """
     counts = _unique([(m.coverage, m.peer_n) for m in metrics])
     statistics = [f"{s}_{m.name}" for m in metrics for s in STATISTICS]
@@ -123,7 +127,7 @@ def score(
         *[F.col(n).alias(peer_n) for n, peer_n in counts],
         *statistics,
     )
-    joined = population.join(peers, list(keys))
+    joined = join_groups(population, peers, keys, "peer_group_n") if spread else population.join(peers, list(keys))
 
     def part(prefix: str, m: Metric) -> Column:
         return F.col(f"{prefix}_{m.name}")

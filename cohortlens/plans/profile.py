@@ -119,12 +119,6 @@ FACT_COLUMNS = (
 )
 
 
-def provider_profile(
-    registry: DataFrame, part_d: DataFrame, part_b: DataFrame, taxonomy: DataFrame
-) -> DataFrame:
-    return profile_with_facts(registry, part_d, part_b, taxonomy).select(*PROFILE_COLUMNS)
-
-
 def with_metrics(dim: DataFrame, fct_part_d: DataFrame, fct_part_b: DataFrame) -> DataFrame:
     """Population with its metrics; entities without activity stay, with nulls."""
     part_d = fct_part_d.select(

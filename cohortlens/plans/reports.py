@@ -173,11 +173,11 @@ def flag_rate_by_key(
     )
     keys = ("grouping_key", "group_values")
     stats = workspace.write(marts.group_stats(keyed, keys, metrics, workspace, config), "stats")
+    counted = stats.groupBy("grouping_key").agg(F.count("*").alias("peer_groups"))
     found = (
-        marts.score(keyed, stats, keys, metrics, config)
+        marts.score(keyed, stats, keys, metrics, config, spread=True)
         .groupBy("grouping_key")
         .agg(
-            F.count_distinct("group_values").alias("peer_groups"),
             F.count("*").alias("providers"),
             count_if(F.col("is_outlier_any_mad")).alias("flagged_mad"),
             pct(count_if(F.col("is_outlier_any_mad")), F.count("*")).alias("pct_flagged_mad"),
@@ -186,7 +186,7 @@ def flag_rate_by_key(
     # A keying without any group of sufficient size is reported as well.
     labels = F.explode(F.array(*[F.lit(label) for label in keyings])).alias("grouping_key")
     every = stats.sparkSession.range(1).select(labels)
-    return every.join(found, "grouping_key", "left").select(
+    return every.join(counted, "grouping_key", "left").join(found, "grouping_key", "left").select(
         "grouping_key",
         *[F.coalesce(c, F.lit(0)).alias(c) for c in ("peer_groups", "providers", "flagged_mad")],
         "pct_flagged_mad",
@@ -394,7 +394,7 @@ def demo_providers(mart: DataFrame, dim: DataFrame, k: int = 6) -> DataFrame:
 def peer_distribution(
     mart: DataFrame, selected: DataFrame, keys: Sequence[str] = PEERS_BY_NAME
 ) -> DataFrame:
-    """Drug cost of each selected entity and of all its peers, as labelled series.
+    """Drug cost of each selected entity and of all its peers, as labelled series, in order.
 
     While ``selected`` is a short, limited list the planner broadcasts it, and the mart is not
     shuffled however large a peer group is. Peers are matched on ``keys``; pass the taxonomy code
@@ -406,8 +406,10 @@ def peer_distribution(
     )
     wanted = selected.select(F.col("npi").alias("demo_npi"), *keys)
     matched = peers.join(wanted, list(keys)).select("demo_npi", "value")
-    return labelled_union("series", {"this_provider": own, "peer_group": matched}).select(
-        "demo_npi", "series", "value"
+    return (
+        labelled_union("series", {"this_provider": own, "peer_group": matched})
+        .select("demo_npi", "series", "value")
+        .orderBy("demo_npi", "series", F.desc("value"))
     )
 
 

@@ -1,4 +1,4 @@
-"""Session settings and the shared folder for written tables."""
+"""The shared folder for written tables."""
 
 from __future__ import annotations
 
@@ -9,13 +9,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every result in this package assumes; the rest is left to the cluster's own tuning.
-SESSION_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-}
-
 _local_roots: dict[str, str] = {}
 
 

@@ -186,7 +186,7 @@ def _sources(spark):
 
 
 def test_profile_fallbacks(spark):
-    got = {r.npi: r for r in profile.provider_profile(*_sources(spark)).collect()}
+    got = {r.npi: r for r in profile.profile_with_facts(*_sources(spark)).select(*profile.PROFILE_COLUMNS).collect()}
     assert set(got) == {"1", "2", "3", "4"}
     assert (got["1"].specialty, got["1"].state, got["1"].city) == ("Internal Medicine", "CA", "Fresno")
     # Blank claim specialty is skipped; an empty registry state falls through, an empty city does not.
@@ -201,5 +201,5 @@ def test_profile_fallbacks(spark):
 
 
 def test_dimension_names(spark):
-    dim = profile.dim_provider(profile.provider_profile(*_sources(spark)))
+    dim = profile.dim_provider(profile.profile_with_facts(*_sources(spark)).select(*profile.PROFILE_COLUMNS))
     assert {r.npi: r.provider_full_name for r in dim.collect()} == {"1": "Ann Lee", "2": "Poe", "3": "3", "4": "4"}

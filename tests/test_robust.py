@@ -70,22 +70,69 @@ def test_too_many_groups_to_broadcast(spark, workspace, no_broadcast, monkeypatc
     check(spark, workspace, rows)
 
 
-def test_oversized_groups_are_split_off(spark, workspace, no_broadcast, monkeypatch):
-    """Their rows meet a broadcast table; only the other rows are shuffled by group."""
+def test_rows_of_oversized_groups_meet_in_several_tasks(spark, workspace, no_broadcast, monkeypatch):
     from cohortlens.operators import joins
 
     monkeypatch.setattr(joins, "MAX_HOT_GROUPS", 4)
-    rows = workspace.write(
-        spark.range(900).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 50).alias("k"), "id"), "rows"
+    rows = spark.range(900, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 50).alias("k"), "id"
     )
     groups = workspace.write(rows.groupBy("k").agg(F.count("*").alias("n")), "groups")
     joined = joins.join_groups(rows, groups, ["k"], "n")
-    assert joined.count() == 900
-    assert joined.filter("k = -1").count() == 300
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") == 2
-    assert "BroadcastHashJoin [k" in plan and "LeftAnti" in plan
-    assert plan.count("SortMergeJoin") == 1
+    assert sorted(joined.columns) == ["id", "k", "n"]
+    assert joined.count() == 900 and joined.select("id").distinct().count() == 900
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    tasks = joined.withColumn("task", F.spark_partition_id()).groupBy("k").agg(F.count_distinct("task").alias("t"))
+    found = {r.k: r.t for r in tasks.collect()}
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found.pop(-1) > 1 and set(found.values()) == {1}
+
+
+def test_only_missed_groups_are_read_again(spark, workspace, monkeypatch):
+    """A sketch that misses in one group costs a search in that group only."""
+    from cohortlens.operators import robust
+
+    rows = [(str(i % 300), float(i % 97)) for i in range(3000)] + [("bad", float(i)) for i in range(400)]
+    df = workspace.write(spark.createDataFrame(rows, "k string, v double"), "rows")
+    true_pass = robust._first_pass
+
+    def poor(*args):
+        near = true_pass(*args)
+        off = F.when(F.col("k") == "bad", F.transform("near_v", lambda x: x + 150)).otherwise(F.col("near_v"))
+        return near.withColumn("near_v", off)
+
+    monkeypatch.setattr(robust, "_first_pass", poor)
+    read = []
+    true_join = robust.join_groups
+    monkeypatch.setattr(robust, "join_groups", lambda r, g, k, s: read.append(g.count()) or true_join(r, g, k, s))
+    got = {r.k: (r.median_v, r.mad_v) for r in robust_stats(df, ["k"], ["v"], workspace, accuracy=1000).collect()}
+    expected = brute(rows)
+    assert {k: pytest.approx(v) for k, v in expected.items()} == got
+    # Once all groups for medians, once for deviations; every further reading is of the missed one.
+    assert read.count(301) == 2 and set(read) == {301, 1}
+
+
+def test_infinite_groups_are_final_at_once(spark, workspace, monkeypatch):
+    rows = [(str(i % 50), float(i)) for i in range(1000)] + [("inf", float("inf"))] * 50 + [("nan", float("nan"))] * 50
+    df = workspace.write(spark.createDataFrame(rows, "k string, v double"), "rows")
+    names = []
+    write = type(workspace).write
+    monkeypatch.setattr(type(workspace), "write", lambda self, d, name: names.append(name) or write(self, d, name))
+    got = {r.k: r.median_v for r in group_medians(df, ["k"], ["v"], workspace).collect()}
+    assert names == ["brackets", "medians"]
+    assert got["inf"] == float("inf") and got["0"] == statistics.median(float(i) for i in range(0, 1000, 50))
+
+
+def test_many_groups_are_hashed(spark, workspace):
+    """No aggregate falls back to sorting while the package computes over many groups."""
+    from cohortlens.operators import robust
+
+    before = spark.conf.get(robust._FALLBACK)
+    with robust.many_groups(spark):
+        assert int(spark.conf.get(robust._FALLBACK)) >= 10_000
+    assert spark.conf.get(robust._FALLBACK) == before
+    rows = [(str(i % 1500), float((i * 31) % 977)) for i in range(9000)]
+    check(spark, workspace, rows)
 
 
 @pytest.mark.parametrize("accuracy", [2, 3, 20])
