@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.operators.relational import top_n_per
+
 CATALOG_SCHEMA = """
     dataset array<struct<
         title: string,
@@ -31,8 +33,8 @@ def latest_distribution(datasets: DataFrame, titles: dict[str, str] | None = Non
     ``titles`` (key -> dataset title) restricts the result to known datasets and adds their key.
 
     ``datasets`` has ``title``, ``modified`` and the nested ``distribution``. Ties go to the greater
-    title, then the greater address. The maximum is combined on the map side, so it does not matter
-    how many rows share a title. Datasets without any CSV are left out.
+    title, then the greater address. Datasets without any CSV are left out, but a dataset that
+    ``titles`` asks for has to be there.
     """
     entry = F.col("entry")
     link = F.coalesce(F.nullif(entry["downloadURL"], F.lit("")), entry["accessURL"], F.lit(""))
@@ -49,30 +51,33 @@ def latest_distribution(datasets: DataFrame, titles: dict[str, str] | None = Non
         .filter(F.col("csv_url").endswith(".csv"))
     )
     year = F.regexp_extract("distribution_title", YEAR_PATTERN, 1).try_cast("int")
-    newest = F.max(
-        F.struct(
-            F.coalesce(year, F.lit(0)).alias("year"),
-            "distribution_title",
-            "csv_url",
-            F.coalesce("media_type", F.lit("")).alias("media_type"),
-            "description",
-            F.col("modified").alias("dataset_modified"),
-        )
+    dated = candidates.select(
+        "dataset_title",
+        F.coalesce(year, F.lit(0)).alias("year"),
+        "distribution_title",
+        "csv_url",
+        F.coalesce("media_type", F.lit("")).alias("media_type"),
+        "description",
+        F.col("modified").alias("dataset_modified"),
     )
-    chosen = (
-        candidates.groupBy("dataset_title")
-        .agg(newest.alias("best"))
-        .select(
-            "dataset_title",
-            F.nullif(F.col("best.year"), F.lit(0)).alias("data_year"),
-            "best.csv_url",
-            "best.distribution_title",
-            F.nullif(F.col("best.media_type"), F.lit("")).alias("media_type"),
-            "best.description",
-            "best.dataset_modified",
-        )
+    # A hash aggregate finds the newest year; only rows of that year are compared by their texts.
+    newest = dated.groupBy("dataset_title").agg(F.max("year").alias("year"))
+    texts = ["distribution_title", "csv_url", "media_type", "description", "dataset_modified"]
+    order = [F.col(c).desc_nulls_last() for c in texts]
+    chosen = top_n_per(dated.join(newest, ["dataset_title", "year"]), ["dataset_title"], order, 1).select(
+        "dataset_title",
+        F.nullif("year", F.lit(0)).alias("data_year"),
+        "csv_url",
+        "distribution_title",
+        F.nullif("media_type", F.lit("")).alias("media_type"),
+        "description",
+        "dataset_modified",
     )
     if titles is None:
         return chosen
     keys = F.create_map(*[F.lit(x) for key, title in titles.items() for x in (title, key)])
-    return chosen.select(keys[F.col("dataset_title")].alias("key"), "*").filter(F.col("key").isNotNull())
+    found = chosen.select(keys[F.col("dataset_title")].alias("key"), "*").filter(F.col("key").isNotNull())
+    absent = titles.keys() - {row["key"] for row in found.select("key").collect()}
+    if absent:
+        raise LookupError(f"no CSV distribution for {', '.join(sorted(absent))}")
+    return found

@@ -12,24 +12,46 @@ from cohortlens.sources.schemas import INDIVIDUAL, REGISTRY_HEADERS, all_text
 _QUOTING = {"header": "true", "quote": '"', "escape": '"'}
 
 
+class BrokenQuotes(ValueError):
+    """A quoted field does not end where it should."""
+
+
+def check_quotes(spark: SparkSession, path: str | list[str], *, multi_line: bool = False, exclude: str | None = None) -> None:
+    """Raises unless quotes are balanced: in every line, or in every file where fields may span lines.
+
+    Without this a reader of single lines would take a line break inside quotes for the end of a row, and
+    either reader would take an open quote to the end. One more scan of the text, with one value per file at most.
+    """
+    lines = spark.read.text(path)
+    if exclude is not None:
+        lines = lines.filter(~F.col("_metadata.file_name").contains(exclude))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    if multi_line:
+        files = lines.groupBy(F.col("_metadata.file_path").alias("place")).agg(F.sum(quotes).alias("quotes"))
+        odd = files.filter("quotes % 2 = 1").select("place")
+    else:
+        odd = lines.filter(quotes % 2 == 1).select(F.substring("value", 1, 80).alias("place"))
+    broken = odd.first()
+    if broken is not None:
+        hint = "" if multi_line else "; if fields contain line breaks, load with multi_line=True"
+        raise BrokenQuotes(f"unbalanced quotes in {broken['place']!r}{hint}")
+
+
 def read_raw_csv(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType | None = None,
     *,
-    strict: bool = False,
     multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header, every column as text, quotes doubled inside quotes.
 
-    Short rows are filled with nulls and surplus fields dropped; ``strict`` aborts on either.
-    Files stay splittable unless ``multi_line`` admits line breaks inside quoted fields.
+    Short rows are filled with nulls and surplus fields dropped; unbalanced quotes raise ``BrokenQuotes``.
+    Files stay splittable, and a line is a row, unless ``multi_line`` admits line breaks inside quoted fields;
+    a file is then read by one task, so such files should be many rather than large.
     """
-    reader = spark.read.options(
-        **_QUOTING,
-        mode="FAILFAST" if strict else "PERMISSIVE",
-        multiLine=str(multi_line).lower(),
-    )
+    check_quotes(spark, path, multi_line=multi_line)
+    reader = spark.read.options(**_QUOTING, mode="PERMISSIVE", multiLine=str(multi_line).lower())
     if schema is None:
         schema = all_text(reader.csv(path).columns)
     return reader.schema(schema).csv(path)
@@ -53,16 +75,23 @@ def load_raw(
 
 
 def read_glob(
-    spark: SparkSession, pattern: str, exclude: str = "fileheader", schema: T.StructType | None = None
+    spark: SparkSession,
+    pattern: str,
+    exclude: str = "fileheader",
+    schema: T.StructType | None = None,
+    *,
+    multi_line: bool = False,
 ) -> DataFrame:
     """All files matching the pattern except companions whose name contains ``exclude``.
 
-    The filter on the file name is applied while listing, so excluded files are never opened.
+    The filter on the file name is applied while listing, so excluded files are never opened. Rows are read as by
+    ``read_raw_csv``.
     """
+    check_quotes(spark, pattern, multi_line=multi_line, exclude=exclude)
+    reader = spark.read.options(**_QUOTING, multiLine=str(multi_line).lower())
     if schema is None:
-        schema = all_text(spark.read.options(**_QUOTING).csv(pattern).columns)
-    rows = spark.read.options(**_QUOTING).schema(schema).csv(pattern)
-    return rows.filter(~F.col("_metadata.file_name").contains(exclude))
+        schema = all_text(reader.csv(pattern).columns)
+    return reader.schema(schema).csv(pattern).filter(~F.col("_metadata.file_name").contains(exclude))
 
 
 def prefilter_registry(wide: DataFrame) -> DataFrame:

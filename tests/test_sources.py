@@ -22,13 +22,28 @@ def test_raw_csv_is_text_with_doubled_quotes(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("01", 'O"Neil, Ann', "1.50"), ("02", None, "*")]
 
 
-def test_short_and_long_rows_are_tolerated_unless_strict(spark, tmp_path):
+def test_short_and_long_rows_are_tolerated(spark, tmp_path):
     path = put(tmp_path / "a.csv", "a,b,c\n1,2\n1,2,3,4\n")
-    schema = all_text("abc")
-    rows = readers.read_raw_csv(spark, path, schema).collect()
+    rows = readers.read_raw_csv(spark, path, all_text("abc")).collect()
     assert [tuple(r) for r in rows] == [("1", "2", None), ("1", "2", "3")]
-    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
-        readers.read_raw_csv(spark, path, schema, strict=True).collect()
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_unbalanced_quotes_abort(spark, tmp_path, multi_line):
+    path = put(tmp_path / "a.csv", 'a,b\n1,x\n2,"open\n3,y\n')
+    with pytest.raises(readers.BrokenQuotes, match="unbalanced"):
+        readers.load_raw(spark, path, all_text("ab"), multi_line=multi_line)
+    with pytest.raises(readers.BrokenQuotes):
+        readers.read_glob(spark, str(tmp_path / "*.csv"), multi_line=multi_line)
+
+
+def test_line_breaks_inside_quotes_are_one_row_or_an_error(spark, tmp_path):
+    path = put(tmp_path / "a.csv", 'a,b\n1,"x\ny"\n2,"say ""hi"""\n3\n')
+    rows = readers.read_raw_csv(spark, path, all_text("ab"), multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [("1", "x\ny"), ("2", 'say "hi"'), ("3", None)]
+    assert readers.read_glob(spark, str(tmp_path / "*.csv"), multi_line=True).count() == 3
+    with pytest.raises(readers.BrokenQuotes, match="multi_line=True"):
+        readers.read_raw_csv(spark, path, all_text("ab"))
 
 
 def test_header_gives_the_schema_in_lower_case(spark, tmp_path):
@@ -101,8 +116,11 @@ def test_catalog_document(spark, tmp_path):
     assert (got["Drugs"].data_year, got["Drugs"].csv_url) == (2023, "https://x/23.csv")
     assert got["Notes"].data_year is None
     assert len(got["Drugs"].description) == 200
-    keyed = catalog.latest_distribution(datasets, {"part_d": "Drugs", "other": "Missing"}).collect()
+    keyed = catalog.latest_distribution(datasets, {"part_d": "Drugs"}).collect()
     assert [r.key for r in keyed] == ["part_d"]
+    for absent in ("Missing", "Empty"):
+        with pytest.raises(LookupError, match="other"):
+            catalog.latest_distribution(datasets, {"part_d": "Drugs", "other": absent})
 
 
 @pytest.mark.parametrize(
