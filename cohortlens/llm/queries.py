@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 
 from . import ann, html_text, langid, lm, mixing, packing, quality, rules, simhash, toxicity
+from .twins import TWINS
+
+__all__ = ["QUERIES", "TWINS"]
 
 # Name of the public tokenizer's file; its folder is asked of the package that brings it.
 TOKENIZER = "byte_bpe_50k.json"
@@ -82,6 +85,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_context_mixing_scores,
     )
 }
-
-# The same rows in SQL, where SQL can express them.
-TWINS: dict[str, str] = {}
