@@ -846,4 +846,32 @@ where total > 0 and flagged >= 0.08 * total""")
 
 BODIES["model_checks"] = _model_checks()
 
+# Lists whose limit bites: the twins above with other literals.
+BODIES["top_outliers_cut"] = BODIES["top_outliers"].replace("limit 100", "limit 3")
+BODIES["specialty_top_cut"] = (
+    BODIES["specialty_top"].replace("specialty ilike '%physician%'", "specialty ilike '%'").replace("limit 10", "limit 4")
+)
+BODIES["provider_lookup_cut"] = BODIES["provider_lookup"].replace("'%customer#00000012%'", "'%customer#%'").replace("limit 25", "limit 9")
+BODIES["outlier_table_cut"] = f"""
+select {RANKED}, peer_n_part_d as peer_n_metric, part_d_total_claims as metric_value,
+    {_r("mz_part_d_claims", "modified_z_score")}
+from mart where peer_n_part_d >= 30 and abs(mz_part_d_claims) >= 1.0
+order by abs(mz_part_d_claims) desc, npi limit 11"""
+BODIES["ranked_extract_cut"] = f"""
+select {RANKED}, peer_n_metric, metric_value, {_r("modified_z_score", "modified_z_score")}
+from (select * from melted
+      qualify row_number() over (partition by metric order by abs(modified_z_score) desc, npi) <= 40) m
+where metric = 'avg_cost_per_claim' and abs(m.modified_z_score) >= 0.5 and m.peer_n_metric >= 30
+order by abs(m.modified_z_score) desc, npi limit 12"""
+BODIES["brand_share_opportunity_cut"] = (
+    BODIES["brand_share_opportunity"].replace("count(*) >= 30", "count(*) >= 5").replace("limit 100", "limit 6")
+)
+BODIES["brand_switch_targets_cut"] = BODIES["brand_switch_targets"].replace("from targets", """from (
+    select *, brand_cost_share - median_brand_cost_share as gap,
+        (brand_cost_share - median_brand_cost_share) * cast(total_drug_cost as double) as amount
+    from mart where part_d_prescriber_flag and brand_cost_share is not null and peer_n_brand_share >= 30
+        and total_drug_cost >= 250000 and brand_cost_share - median_brand_cost_share >= cast(0.02 as double)
+        and (mz_drug_cost is null or mz_drug_cost < 1000)
+    order by amount desc, npi limit 8)""")
+
 ORACLES = {name: _with_relations(body) for name, body in BODIES.items()}

@@ -708,6 +708,50 @@ def talking_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.brand_switch_targets(build(spark, sf_dir).mart).select("npi", "talking_point")
 
 
+# The same lists with limits below what the test data offer, so that the cut and the order at it count.
+
+
+@query
+def top_outliers_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(reports.top_outliers(build(spark, sf_dir).mart, n=3))
+
+
+@query
+def specialty_top_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(reports.specialty_top(build(spark, sf_dir).mart, "%", n=4))
+
+
+@query
+def provider_lookup_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = build(spark, sf_dir)
+    return reports.find_provider(b.mart, b.dim_provider, name="customer#", limit=9).select(
+        "npi", "provider_full_name", "taxonomy_code", "state", "is_outlier_any_mad",
+        "nucc_grouping", "nucc_classification", "nucc_specialization",
+    )
+
+
+@query
+def outlier_table_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = reports.rank_outliers(build(spark, sf_dir).mart, "part_d_total_claims", threshold=1.0, min_peer_n=30, limit=11)
+    return rounded(ranked, "metric_value")
+
+
+@query
+def ranked_extract_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extract = reports.top_n_per_metric(build(spark, sf_dir).mart, n=40)
+    return rounded(reports.rank_extract(extract, "avg_cost_per_claim", threshold=0.5, limit=12), "metric_value")
+
+
+@query
+def brand_share_opportunity_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.brand_share_opportunity(build(spark, sf_dir).mart, min_providers=5, n=6)
+
+
+@query
+def brand_switch_targets_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.brand_switch_targets(build(spark, sf_dir).mart, min_gap=0.02, n=8).drop("talking_point")
+
+
 @query
 def priority_tier_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
