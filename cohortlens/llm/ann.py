@@ -3,7 +3,8 @@
 Every tree gives a vector a long hash string, the signs of its projections on ``BITS`` seeded random
 directions, and keeps the strings as a sorted array. A query descends each tree to the longest prefix it
 shares with any string; then all trees ascend together, one bit at a time, until the vectors below the
-reached prefixes, counted over the trees, are ``share`` times as many as are indexed. Prefixes of one length
+reached prefixes, counted over the trees, are ``share`` times as many as are indexed, and enough to hold ``k`` different
+ones. Prefixes of one length
 are an interval of the sorted array, so both ways are binary searches. All candidates are scored exactly, in
 double precision.
 
@@ -104,7 +105,9 @@ class Forest:
     def search(self, queries: np.ndarray, k: int, share: float = SHARE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Positions and scores of about the ``k`` best candidates of each query, unsorted."""
         n = len(self.vectors)
-        low, high = self.intervals(self._strings(queries, np.zeros(len(queries))), int(np.ceil(share * n)))
+        # A vector may be counted once per tree: so many hold at least ``k`` different ones.
+        wanted = max(int(np.ceil(share * n)), k * self.trees)
+        low, high = self.intervals(self._strings(queries, np.zeros(len(queries))), wanted)
         for i, query in enumerate(queries):
             below = np.zeros(n, dtype=bool)
             for tree in range(self.trees):

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import per_process, remainder
+from .text import objects, per_process, remainder
 
 BUCKETS = 1 << 16
 ORDERS = 4
@@ -111,8 +111,9 @@ def count_grams(docs: DataFrame, *, text: str, lang: str) -> DataFrame:
                         total += np.bincount(np.concatenate(found), minlength=BUCKETS)
         for name, total in sums.items():
             used = np.flatnonzero(total)
-            yield pd.DataFrame({"lang": name, "bucket": used.astype(np.int32), "n": total[used]})
-            yield pd.DataFrame({"lang": [name], "bucket": np.array([-1], dtype=np.int32), "n": [seen[name]]})
+            names = np.full(len(used), name, dtype=object)
+            yield pd.DataFrame({"lang": names, "bucket": used.astype(np.int32), "n": total[used]})
+            yield objects(pd.DataFrame({"lang": [name], "bucket": np.array([-1], dtype=np.int32), "n": [seen[name]]}))
 
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     return rows.mapInPandas(counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
@@ -201,10 +202,12 @@ def predict(docs: DataFrame, model, *, key: str = "doc_id", text: str = "text")
                 known = sizes > 0
                 labels[known] = np.array(names, dtype=object)[best[known]]
                 scores[known] = share[np.arange(len(best)), best][known]
-            yield pd.DataFrame({"key": batch["key"], "lang_pred": labels, "score": scores})
+            yield objects(pd.DataFrame({"key": batch["key"], "lang_pred": labels, "score": scores}))
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInPandas(predicted, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
+    # Keys travel as text: a null among numbers would make pandas take them for floats.
+    rows = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
+    found = rows.mapInPandas(predicted, "key string, lang_pred string, score double")
+    return found.select(F.col("key").cast(kind).alias(key), "lang_pred", "score")
 
 
 def held_out(key: Column) -> Column:

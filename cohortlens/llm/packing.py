@@ -37,7 +37,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import Workspace
-from .text import per_process
+from .text import objects, per_process
 
 CAPACITY = 2048
 END_ID = 0
@@ -146,7 +146,6 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, tokenizer: str, *, capacity: int, key: str, text: str) -> DataFrame:
     """Pieces with their task and their number among the task's pieces of that length."""
-    kind = docs.schema[key].dataType.simpleString()
 
     def cut_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
@@ -170,8 +169,9 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int, key: str, text: st
                 out[name] = out[name].astype("int64")
             yield out
 
-    schema = f"key {kind}, piece int, start long, length long, ids_crc32 long, task int, number long"
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(cut_all, schema)
+    # Keys travel as text: a null among numbers would make pandas take them for floats.
+    schema = "key string, piece int, start long, length long, ids_crc32 long, task int, number long"
+    return docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text")).mapInPandas(cut_all, schema)
 
 
 @dataclass(frozen=True)
@@ -346,8 +346,9 @@ def pack(
         places = Plan(*slots.value, 0)
         for batch in batches:
             sequence, offset = places.place(batch["length"].to_numpy(), batch["rank"].to_numpy())
-            yield batch.drop(columns="rank").assign(sequence_id=sequence, offset=offset)
+            yield objects(batch.drop(columns="rank").assign(sequence_id=sequence, offset=offset))
 
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"key {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return ranked.mapInPandas(placed, schema).withColumnRenamed("key", key)
+    schema = "key string, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    found = ranked.mapInPandas(placed, schema)
+    return found.select(F.col("key").cast(kind).alias(key), *found.columns[1:])

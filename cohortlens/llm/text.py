@@ -6,6 +6,7 @@ import sys
 from collections.abc import Callable
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,3 +41,8 @@ def per_process(name: str, make: Callable[[], Any]) -> Any:
     if name not in held:
         held[name] = make()
     return held[name]
+
+
+def objects(frame: pd.DataFrame) -> pd.DataFrame:
+    """``frame`` with its text columns as Python objects, which Arrow takes in one piece."""
+    return frame.astype({c: object for c, kind in frame.dtypes.items() if isinstance(kind, pd.StringDtype)})

@@ -31,6 +31,7 @@ from ..session import Workspace
 from . import linear
 from .features import SHAPE, buckets_of, shape
 from .quality import sampled
+from .text import objects
 
 TRAINING_ROWS = 20_000
 FOLDS = 5
@@ -225,11 +226,13 @@ def detect(docs: DataFrame, model, categories: Sequence[str], *, key: str = "doc
             indptr = np.r_[0, np.cumsum([len(f) for f in features], dtype=np.int64)]
             indices = np.concatenate([np.zeros(0, dtype=np.int64), *features]).astype(np.int64)
             p = run_chain(chain, indptr, indices, np.clip((shapes - mean) / deviation, -12, 12))
-            yield pd.DataFrame({"key": batch["key"]} | {f"p{i}": p[:, i] for i in range(p.shape[1])})
+            yield objects(pd.DataFrame({"key": batch["key"]} | {f"p{i}": p[:, i] for i in range(p.shape[1])}))
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    schema = f"key {kind}, " + ", ".join(f"p{i} double" for i in range(len(categories)))
-    found = rows.mapInPandas(judged, schema).toDF(key, *[f"p_{c}" for c in categories])
+    # Keys travel as text: a null among numbers would make pandas take them for floats.
+    rows = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
+    schema = "key string, " + ", ".join(f"p{i} double" for i in range(len(categories)))
+    judged_rows = rows.mapInPandas(judged, schema).withColumn("key", F.col("key").cast(kind))
+    found = judged_rows.toDF(key, *[f"p_{c}" for c in categories])
     last = categories[-1]
     return found.withColumn(f"is_{last}", F.col(f"p_{last}") >= model[3][1])
 

@@ -35,11 +35,12 @@ def corpus(spark):
     return docs.repartition(4), spark.createDataFrame(labels, "doc_id long, quality int, toxic int, text string")
 
 
-SITE = {"host": F.col("source"), "path": F.col("lang")}
+def site():
+    return {"host": F.col("source"), "path": F.col("lang")}
 
 
 def test_quality_of_documents_without_labels(corpus):
-    rows = quality.judged(*corpus, **SITE).collect()
+    rows = quality.judged(*corpus, **site()).collect()
     assert sorted(r.doc_id for r in rows) == list(range(240))
     assert all(r.kept == (r.doc_id % 6 != 0) for r in rows)
     assert all(0 < r.score < 1 and 0 < r.host_rate < 1 and 0 < r.path_rate < 1 for r in rows)
@@ -51,26 +52,26 @@ def test_sites_move_undecided_documents(spark):
     rows = [(i, bad, "bad", "x") for i in range(60)] + [(100 + i, good, "good", "x") for i in range(60)] + [(300, good, "new", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
     labels = spark.createDataFrame([(i, 0) for i in range(40)] + [(100 + i, 1) for i in range(40)], "doc_id long, quality int")
-    found = {r.doc_id: r for r in quality.judged(docs, labels, **SITE).collect()}
+    found = {r.doc_id: r for r in quality.judged(docs, labels, **site()).collect()}
     assert found[0].path_rate < 0.2 and found[100].path_rate > 0.8
     assert 0.3 < found[300].path_rate < 0.9
 
 
 def test_keep_good_returns_whole_rows(corpus):
     docs, labels = corpus
-    kept = quality.keep_good(docs, labels, **SITE)
+    kept = quality.keep_good(docs, labels, **site())
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(240) if i % 6]
 
 
 def test_odd_rows_do_not_break_the_classifiers(odd_docs, odd_labels, no_docs):
     keys = collections.Counter(r.doc_id for r in odd_docs.collect())
-    assert collections.Counter(r.doc_id for r in quality.judged(odd_docs, odd_labels, **SITE).collect()) == keys
+    assert collections.Counter(r.doc_id for r in quality.judged(odd_docs, odd_labels, **site()).collect()) == keys
     assert collections.Counter(r.doc_id for r in toxicity.toxic(odd_docs, odd_labels).collect()) == keys
-    assert quality.judged(no_docs, odd_labels, **SITE).isEmpty()
+    assert quality.judged(no_docs, odd_labels, **site()).isEmpty()
     assert toxicity.toxic(no_docs, odd_labels).isEmpty()
     nothing = odd_labels.limit(0)
-    assert all(r.kept for r in quality.judged(odd_docs, nothing, **SITE).collect())
+    assert all(r.kept for r in quality.judged(odd_docs, nothing, **site()).collect())
     assert collections.Counter(r.doc_id for r in toxicity.toxic(odd_docs, nothing).collect()) == keys
 
 

@@ -26,7 +26,7 @@ def docs(spark):
 def test_held_out_documents_are_recognized(docs):
     rows = langid.identify(docs).collect()
     truth = {r.doc_id: r.lang for r in docs.collect()}
-    assert collections.Counter(r.doc_id for r in rows) == collections.Counter(truth)
+    assert collections.Counter(r.doc_id for r in rows) == collections.Counter(list(truth))
     for r in rows:
         assert r.held_out == (crc("" if r.doc_id is None else r.doc_id) % 3 == 1)
         assert 0 <= r.score <= 1
