@@ -39,6 +39,9 @@ class Workspace:
     survives lost executors and cuts lineage; and since every reader goes through a file scan, it
     prunes columns and gives the join planner true sizes, so a statistics table is broadcast only
     while its files are below ``spark.sql.autoBroadcastJoinThreshold``.
+
+    As a context manager it deletes its tables at the end of the block, by which time everything that reads
+    them has to be written or collected. Otherwise they stay until ``drop`` is called.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -46,6 +49,12 @@ class Workspace:
         self.root = f"{root or shared_folder(spark)}/run-{uuid.uuid4().hex}"
         self._count = 0
 
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        self.drop()
+
     def path(self, name: str) -> str:
         self._count += 1
         return f"{self.root}/{self._count:04d}-{name}"

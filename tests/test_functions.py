@@ -135,3 +135,30 @@ def test_histogram_counts_every_value_once(spark):
     df = spark.createDataFrame([("a", -0.1), ("a", 0.0), ("a", 0.49), ("a", 0.5), ("b", None)], "s string, v double")
     got = {(r.s, r.bin_start): r.n for r in histogram(df, "v", 0.5, ["s"]).collect()}
     assert got == {("a", -0.5): 1, ("a", 0.0): 2, ("a", 0.5): 1}
+
+
+def test_fixed_values_are_what_they_were_agreed_to_be():
+    """Literals, so that a changed constant cannot pass with its twin in SQL, which takes some from the package."""
+    from cohortlens.functions import labels
+
+    assert labels.SPECIALTY_GROUPINGS == {
+        "171": "Other Service Provider",
+        "174": "Other Service Provider",
+        "193": "Group",
+        "207": "Physician",
+        "208": "Physician",
+        "291": "Laboratory",
+        "333": "Supplier",
+        "363": "Advanced Practice",
+    }
+    assert [limit for limit, _ in labels.COST_BANDS] == [1_000, 10_000, 100_000, 1_000_000, 10_000_000]
+    assert [label for _, label in labels.COST_BANDS] + [labels.TOP_COST_BAND] == [
+        "1 · <$1k",
+        "2 · $1k–10k",
+        "3 · $10k–100k",
+        "4 · $100k–1M",
+        "5 · $1M–10M",
+        "6 · ≥$10M",
+    ]
+    assert labels.PRIORITY_TIERS == ((1_000_000, "Tier 1 (>=$1M)"), (250_000, "Tier 2 ($250k-$1M)"))
+    assert (labels.EXTREME_SCORE, labels.ELEVATED_SCORE, labels.LOWEST_TIER) == (10.0, 3.5, "Tier 3 (<$250k)")

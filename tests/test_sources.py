@@ -210,3 +210,15 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_a_workspace_cleans_up_after_its_block(spark):
+    import os
+
+    from cohortlens.session import Workspace
+
+    with Workspace(spark) as workspace:
+        assert workspace.write(spark.range(3), "rows").count() == 3
+        folder = workspace.root.removeprefix("file:")
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
