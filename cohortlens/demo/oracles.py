@@ -846,6 +846,8 @@ where total > 0 and flagged >= 0.08 * total""")
 
 BODIES["model_checks"] = _model_checks()
 
+BODIES["stg_part_b_from_csv"] = BODIES["stg_part_b"]
+
 # Lists whose limit bites: the twins above with other literals.
 BODIES["top_outliers_cut"] = BODIES["top_outliers"].replace("limit 100", "limit 3")
 BODIES["specialty_top_cut"] = (

@@ -33,7 +33,7 @@ from cohortlens.operators.robust import group_medians, robust_stats, with_group_
 from cohortlens.plans import marts, metering, model_checks, profile, quality, reports, rollups, staging
 from cohortlens.session import Workspace
 from cohortlens.sources import catalog, loadchecks, readers, writers
-from cohortlens.sources.schemas import REGISTRY_HEADERS, all_text
+from cohortlens.sources.schemas import REGISTRY_HEADERS, TAXONOMY_SEED, all_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,7 +115,9 @@ def registry_prefilter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def seed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = inputs.raw_registry(spark, sf_dir).select("npi", "primary_taxonomy_code")
-    seed = inputs.taxonomy_seed(spark).select("taxonomy_code", "display_name")
+    path = Workspace(spark).path("seed")
+    writers.write_csv(inputs.taxonomy_seed(spark), path)
+    seed = readers.read_seed(spark, path, TAXONOMY_SEED).select("taxonomy_code", "display_name")
     return registry.join(
         seed, F.col("primary_taxonomy_code") == F.col("taxonomy_code"), "left"
     ).select(
@@ -187,6 +189,18 @@ def stg_part_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_part_b(inputs.raw_part_b(spark, sf_dir))
 
 
+@query
+def stg_part_b_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw services landed as CSV text, with line breaks inside quotes, and loaded from there."""
+    path = Workspace(spark).path("part_b")
+    raw = inputs.part_b_file(spark, sf_dir)
+    broken = raw.select("*", F.lit('first "line"\nsecond, line').alias("remark"))
+    writers.write_csv(broken, path)
+    loaded = readers.load_raw(spark, path, multi_line=True)
+    remarks = loaded.filter(F.col("remark") == 'first "line"\nsecond, line').drop("remark", "_loaded_at")
+    return staging.stg_part_b(remarks.withColumn("_loaded_at", F.lit(inputs.LOADED_AT).cast("timestamp_ntz")))
+
+
 @query
 def stg_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_registry(inputs.raw_registry(spark, sf_dir))
