@@ -24,6 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import Workspace
+from .simhash import pick
 from .text import word_count
 
 WEIGHTS = (5, 2, 1)
@@ -196,7 +197,7 @@ def mixed_rows(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sour
     workspace = options.setdefault("workspace", Workspace(docs.sparkSession))
     found = mix(docs, key=key, text=text, source=source, **options)
     # Equal rows are one row that is sent as often as all of them.
-    sent = workspace.write(found.groupBy("mark").agg(F.sum("copies").alias("copies")).filter("copies > 0"), "sent")
-    rows = docs.select(F.struct("*").alias("_row"), row_mark(key, text, source).alias("mark"))
-    each = rows.join(sent, "mark").dropDuplicates(["mark"])
+    sums = found.groupBy("mark").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    sent = workspace.write(sums.filter("copies > 0"), "sent")
+    each = pick(docs, row_mark(key, text, source), sent)
     return each.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("_row.*")

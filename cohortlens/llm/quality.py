@@ -23,6 +23,7 @@ rows. Further columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -110,16 +111,45 @@ def judged(
     threshold: float = THRESHOLD,
     workspace: Workspace | None = None,
 ) -> DataFrame:
-    """Per document: key, ``doc_score``, ``host_rate``, ``path_rate``, ``score``, ``kept`` and ``mark``.
-
-    ``mark`` is a hash of key, host, path and text, by which equal rows are recognized.
-    """
+    """Per document: key, ``doc_score``, ``host_rate``, ``path_rate``, ``score`` and ``kept``."""
     workspace = workspace or Workspace(docs.sparkSession)
-    mark = F.xxhash64(F.col(key), host, path, F.col(text))
-    shaped = workspace.write(shapes(docs, key, text, host.alias("host"), path.alias("path"), mark.alias("mark")), "shapes")
+    shaped = workspace.write(shapes(docs, key, text, host.alias("host"), path.alias("path")), "shapes")
+    model = fit_sites(shaped, labels, workspace, key=key, label=label, most=most)
+    found = model.judge(shaped, threshold)
+    return found.select(F.col("key").alias(key), "doc_score", "host_rate", "path_rate", "score", "kept")
+
+
+@dataclass(frozen=True)
+class SiteModel:
+    """Document classifier, base rate, and the rates of all sites."""
+
+    scale: linear.Standard
+    weights: np.ndarray
+    base: float
+    path_strength: float
+    sites: DataFrame
+
+    def judge(self, shaped: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+        """``shaped`` (``host``, ``path``, ``shape`` and more) with scores and verdict."""
+        scored = shaped.withColumn("odds", evidence(self.scale, self.weights))
+        scored = scored.withColumn("doc_score", 1 / (1 + F.exp(-F.col("odds"))))
+        same = F.col("host").eqNullSafe(F.col("host_")) & F.col("path").eqNullSafe(F.col("path_"))
+        placed = scored.join(self.sites, same)
+        # A path's posterior without the document itself.
+        others = F.col("path_good") - F.col("doc_score") + self.path_strength * F.col("host_rate")
+        rate = others / (F.col("path_n") - 1 + self.path_strength)
+        # The classifier's log-odds hold its base rate; what is left without it is the evidence of the text.
+        prior = F.greatest(F.least(F.col("path_rate"), F.lit(1 - 1e-6)), F.lit(1e-6))
+        odds = F.col("odds") - float(linear.logit(np.array(self.base))) + F.log(prior) - F.log1p(-prior)
+        judged_rows = placed.withColumn("path_rate", rate).withColumn("score", 1 / (1 + F.exp(-odds)))
+        return judged_rows.withColumn("kept", F.col("score") >= threshold)
+
+
+def fit_sites(shaped: DataFrame, labels: DataFrame, workspace: Workspace, *, key: str, label: str, most: int) -> SiteModel:
+    """The classifier from labelled rows, the sites' rates from all rows of ``shaped``."""
     scale, weights = learn(shaped, labels, key=key, label=label, most=most)
     scored = workspace.write(
-        shaped.select("key", "host", "path", "mark", evidence(scale, weights).alias("odds")).withColumn(
+        shaped.select("host", "path", evidence(scale, weights).alias("odds")).withColumn(
             "p", 1 / (1 + F.exp(-F.col("odds")))
         ),
         "scored",
@@ -142,32 +172,30 @@ def judged(
     sites = in_hosts.select(
         "host_", F.col("path").alias("path_"), F.col("n").alias("path_n"), F.col("good").alias("path_good"), "host_rate"
     )
-    placed = scored.join(sites, F.col("host").eqNullSafe(F.col("host_")) & F.col("path").eqNullSafe(F.col("path_")))
-    others = (F.col("path_good") - F.col("p") + path_strength * F.col("host_rate")) / (F.col("path_n") - 1 + path_strength)
-    # The classifier's log-odds hold its base rate; what is left without it is the evidence of the text.
-    prior = F.greatest(F.least(F.col("path_rate"), F.lit(1 - 1e-6)), F.lit(1e-6))
-    odds = F.col("odds") - float(linear.logit(np.array(base))) + F.log(prior) - F.log1p(-prior)
-    return (
-        placed.withColumn("path_rate", others)
-        .withColumn("score", 1 / (1 + F.exp(-odds)))
-        .select(
-            F.col("key").alias(key),
-            F.col("p").alias("doc_score"),
-            "host_rate",
-            "path_rate",
-            "score",
-            (F.col("score") >= threshold).alias("kept"),
-            "mark",
-        )
-    )
+    return SiteModel(scale, weights, base, path_strength, workspace.write(sites, "sites"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, *, host: Column, path: Column, **options) -> DataFrame:
-    """The documents judged good, with the columns they came with."""
-    key, text = options.get("key", "doc_id"), options.get("text", "text")
-    workspace = options.setdefault("workspace", Workspace(docs.sparkSession))
-    found = judged(docs, labels, host=host, path=path, **options)
-    # Equal rows have one verdict; what is rejected is the smaller list.
-    bad = workspace.write(found.filter(~F.col("kept")).select("mark").distinct(), "rejected")
-    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64(F.col(key), host, path, F.col(text)).alias("mark"))
-    return rows.join(bad, "mark", "left_anti").select("_row.*")
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    host: Column,
+    path: Column,
+    key: str = "doc_id",
+    text: str = "text",
+    label: str = "quality",
+    most: int = TRAINING_ROWS,
+    threshold: float = THRESHOLD,
+    workspace: Workspace | None = None,
+) -> DataFrame:
+    """The documents judged good, with the columns they came with.
+
+    Whole documents only meet the table of sites; their shapes are computed once more rather than joined to them.
+    """
+    workspace = workspace or Workspace(docs.sparkSession)
+    sites = (host.alias("host"), path.alias("path"))
+    model = fit_sites(
+        workspace.write(shapes(docs, key, text, *sites), "shapes"), labels, workspace, key=key, label=label, most=most
+    )
+    rows = shapes(docs, key, text, *sites, F.struct("*").alias("_row"))
+    return model.judge(rows, threshold).filter("kept").select("_row.*")

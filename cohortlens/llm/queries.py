@@ -36,7 +36,7 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return quality.judged(docs, labels, host=F.col("source"), path=F.col("lang")).drop("mark")
+    return quality.judged(docs, labels, host=F.col("source"), path=F.col("lang"))
 
 
 def op5_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,13 +29,12 @@ gives no rows. Further columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Workspace
@@ -52,14 +51,14 @@ PIECES = RADIUS + 1
 # Pairs of (searcher, node) looked at in one numpy step.
 STEP = 1 << 20
 
-_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BLOCK = 1 << 14
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """The fingerprint of one text."""
-    words = _WORDS.findall((text or "").translate(_LOWER)) if text else []
+    # The separators of bytes.split() are the six characters of ASCII white space.
+    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
         return 0
     width = min(shingle, len(words))
@@ -70,7 +69,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
         end = min(start + _BLOCK, total)
         columns = (words[start + k : end + k] for k in range(width))
         hashes = np.fromiter(
-            (digest(" ".join(run).encode("utf-8", "surrogatepass"), SEED) for run in zip(*columns, strict=True)),
+            (digest(b" ".join(run), SEED) for run in zip(*columns, strict=True)),
             dtype="<u8",
             count=end - start,
         )
@@ -290,13 +289,25 @@ def near_duplicates(
     )
 
 
+def pick(docs: DataFrame, mark: Column, chosen: DataFrame) -> DataFrame:
+    """One row, as ``_row``, for every ``mark`` in ``chosen``, beside its columns; ``rows`` is how many rows have it.
+
+    Whole documents pass by a hash table of the marks, unsorted. Only of rows that come more than once
+    all but one are taken out.
+    """
+    rows = docs.select(F.struct("*").alias("_row"), mark.alias("mark"))
+    single = rows.join(chosen.filter("rows = 1").hint("shuffle_hash"), "mark")
+    repeated = rows.join(chosen.filter("rows > 1").hint("shuffle_hash"), "mark").dropDuplicates(["mark"])
+    return single.unionByName(repeated)
+
+
 def keep_first(docs: DataFrame, *, key: str = "doc_id", text: str = "text", workspace: Workspace | None = None, **options) -> DataFrame:
     """One document of each component, that with the smallest key, with the columns it came with."""
     workspace = workspace or Workspace(docs.sparkSession)
     found = near_duplicates(docs, key=key, text=text, workspace=workspace, **options)
     chosen = found.filter(F.col(key).eqNullSafe(F.col("component_id")))
     # Rows may share the smallest key, or have none: one text among them is chosen, then one of equal rows.
-    one = chosen.groupBy("class").agg(F.min("mark").alias("mark"))
-    one = workspace.write(one.select("mark", F.lit(True).alias("stays")), "chosen")
-    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64(key, text).alias("mark"))
-    return rows.join(one, "mark").dropDuplicates(["mark"]).select("_row.*")
+    marks = chosen.groupBy("class", "mark").agg(F.count("*").alias("rows"))
+    one = marks.groupBy("class").agg(F.min(F.struct("mark", "rows")).alias("one"))
+    one = workspace.write(one.select("one.*"), "chosen")
+    return pick(docs, F.xxhash64(key, text), one).select("_row.*")
