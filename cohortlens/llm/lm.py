@@ -1,17 +1,17 @@
 """Language-model scores: online logistic context mixing over bytes, beside a smoothed unigram base.
 
-The model predicts a text's bytes (A-Z lower-cased, one zero byte as the end) bit by bit. Five predictors, of orders 0
-to 4, look at the bits of the byte so far and at the bytes before it, hashed into counters of zeros and ones. Their
+The model predicts a text's bytes (A-Z lower-cased, one zero byte as the end) bit by bit. Six predictors, of orders 0
+to 5, look at the bits of the byte so far and at the bytes before it, hashed into counters of zeros and ones. Their
 stretched probabilities are mixed by weights that a gate selects (how many orders have seen their context and
 how often the longest of them), and the mixed probability is refined by an adaptive map per bit
 position and bits so far. A text's score is the sum of the logarithms of all bit probabilities.
 
-What is learned, and how. Counters hold what the whole training part contains: tasks count byte 5-grams, Spark adds
-them up, and counters follow from the sums, since whatever an order needs is a part of the 5-gram. Weights are learned
+What is learned, and how. Counters hold what the whole training part contains: tasks count byte 6-grams, Spark adds
+them up, and counters follow from the sums, since whatever an order needs is a part of the 6-gram. Weights are learned
 online, in mini-batches in a stream of all grams weighted by their counts, in parallel over partitions, then averaged; the adaptive map
 is counted in a second pass. In both, an occurrence is left out of the counters that predict it, as it will not be in them
 when a new text is scored. Scoring freezes the model: scores then do not depend on which texts a task reads first, nor
-on lost executors. Every bit depends on the 5-gram only, so tasks compute a gram's cost once and remember it.
+on lost executors. Every bit depends on the 6-gram only, so tasks compute a gram's cost once and remember it.
 
 The base: tokens are words and one end per text. Counts come from the same pass. The most frequent words, ``FREQUENT`` at
 most, are broadcast; occurrences of others are joined with the counts by word.
@@ -26,8 +26,10 @@ count as often as they come. An empty table gives no rows. Further columns are n
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -36,10 +38,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Workspace
-from .text import remainder
+from .text import objects, per_process, remainder
 
-ORDERS = 5
-TABLE_BITS = (8, 16, 18, 20, 21)
+ORDERS = 6
+TABLE_BITS = (8, 16, 18, 20, 21, 21)
 TABLE_START = tuple(int(sum(1 << b for b in TABLE_BITS[:o])) for o in range(ORDERS + 1))
 GRAM = ORDERS  # bytes of a gram: the longest context and the byte itself
 
@@ -48,9 +50,11 @@ FREQUENT = 300_000
 
 # Words a task counts before it passes them on, bytes handled in one numpy step, grams evaluated in one.
 HELD_WORDS = 300_000
+HELD_GRAMS = 2_500_000
 BLOCK = 1 << 21
 GRAM_BLOCK = 1 << 15
-MEMO_BITS = 21
+COST_BLOCK = 1 << 13
+MEMO_BITS = 22
 
 # Mixing: inputs are the orders' stretched probabilities and a constant.
 LEVELS, BANDS = ORDERS, 4
@@ -60,6 +64,8 @@ REACH = 9.0
 RATE, EPOCHS, BATCH = 0.3, 4, 2048
 TRAINING_PARTS = 8
 
+CONSTANT = 0.3
+
 # Adaptive map: cells per unit of stretched probability, and how many observations its prior is worth.
 CELLS_PER_UNIT = 2
 CELLS = int(2 * REACH * CELLS_PER_UNIT) + 1
@@ -92,11 +98,11 @@ def blocks(texts: Iterator[tuple[int, bytes]]) -> Iterator[tuple[np.ndarray, np.
         wanted = np.ones(len(codes), dtype=bool)
         for k in range(len(lead)):
             wanted[ends - np.array(sizes) - len(lead) + k] = False
-        at = np.flatnonzero(wanted)
-        grams = np.zeros(len(at), dtype=np.uint64)
+        grams = np.zeros(max(0, len(codes) - GRAM + 1), dtype=np.uint64)
         for k in range(GRAM):
-            grams = (grams << np.uint64(8)) | codes[at - (GRAM - 1) + k]
-        return grams, np.array(owners), np.cumsum(sizes) - np.array(sizes)
+            grams <<= np.uint64(8)
+            grams |= codes[k : k + len(grams)]
+        return grams[wanted[GRAM - 1 :]], np.array(owners), np.cumsum(sizes) - np.array(sizes)
 
     for owner, data in texts:
         data = lead + data + b"\0"
@@ -123,8 +129,13 @@ def corpus_statistics(docs: DataFrame, text: str) -> DataFrame:
         return pd.DataFrame({"gram": pd.array([None] * len(words), dtype="Int64"), "word": list(words), "n": list(words.values())})
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams, counts = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        pending: list[tuple[np.ndarray, np.ndarray]] = []
         words: Counter = Counter()
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            grams, place = np.unique(np.concatenate([g for g, _ in pending]), return_inverse=True)
+            return grams, np.bincount(place, np.concatenate([n for _, n in pending])).astype(np.int64)
+
         for batch in batches:
             data = [lowered(t) for t in batch["text"]]
             for one in data:
@@ -134,14 +145,13 @@ def corpus_statistics(docs: DataFrame, text: str) -> DataFrame:
                     words = Counter()
             words[b""] += len(data)
             for block, _, _ in blocks(enumerate(data)):
-                new, n = np.unique(block, return_counts=True)
-                grams, place = np.unique(np.concatenate([grams, new]), return_inverse=True)
-                counts = np.bincount(place, np.concatenate([counts, n]), minlength=len(grams)).astype(np.int64)
-                if len(grams) > 4 * HELD_WORDS:
-                    yield grams_of(grams, counts)
-                    grams, counts = grams[:0], counts[:0]
-        if len(grams):
-            yield grams_of(grams, counts)
+                pending.append(np.unique(block, return_counts=True))
+                if sum(len(g) for g, _ in pending) > HELD_GRAMS:
+                    pending = [merged()]
+                    if len(pending[0][0]) > HELD_GRAMS // 2:
+                        yield grams_of(*pending.pop())
+        if pending:
+            yield grams_of(*merged())
         if words:
             yield words_of(words)
 
@@ -152,38 +162,53 @@ def corpus_statistics(docs: DataFrame, text: str) -> DataFrame:
 # --- the model -----------------------------------------------------------------------------------
 
 
-def slots_of(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per gram and bit: counter slots (gram, bit, order), the bit, and the bits so far."""
+def slots_of(grams: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Per order the counter slots (gram, bit); the bits, and the bits so far."""
     target = (grams & np.uint64(255)).astype(np.int64)
     context = grams >> np.uint64(8)
     depth = np.arange(8)
     so_far = (1 << depth) | (target[:, None] >> (8 - depth))
     bits = (target[:, None] >> (7 - depth)) & 1
-    slots = np.empty((len(grams), 8, ORDERS), dtype=np.int64)
+    step = so_far.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    slots = []
     for order in range(ORDERS):
-        known = (context & np.uint64((1 << (8 * order)) - 1))[:, None]
-        cell = (known << np.uint64(8)) | so_far.astype(np.uint64)
-        if order > 1:
-            cell = (cell ^ (cell >> np.uint64(23))) * np.uint64(0x9E3779B97F4A7C15)
-            cell = (cell ^ (cell >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-            cell = cell >> np.uint64(64 - TABLE_BITS[order])
-        slots[:, :, order] = cell.astype(np.int64) + TABLE_START[order]
+        known = context & np.uint64((1 << (8 * order)) - 1)
+        if order < 2:
+            cell = (known[:, None] << np.uint64(8)).astype(np.int64) | so_far
+        else:
+            mixed_context = (known ^ (known >> np.uint64(23))) * np.uint64(0x9E3779B97F4A7C15)
+            cell = (mixed_context ^ (mixed_context >> np.uint64(32)))[:, None] + step
+            cell = ((cell * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - TABLE_BITS[order])).astype(np.int64)
+        slots.append(cell + TABLE_START[order])
     return slots, bits, so_far
 
 
-def inputs(slots: np.ndarray, zeros: np.ndarray, ones: np.ndarray, leave_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Mixer inputs (..., order + constant) and the gate; ``leave_out`` holds the bits to take out of the counters."""
-    n0, n1 = zeros[slots], ones[slots]
-    if leave_out is not None:
-        n1 = np.maximum(n1 - leave_out[..., None], 0)
-        n0 = np.maximum(n0 - (1 - leave_out[..., None]), 0)
-    stretched = np.clip(np.log((n1 + DELTA) / (n0 + DELTA)), -REACH, REACH)
-    seen = (n0 + n1)[..., 1:]
-    level = (seen > 0).sum(axis=-1)
-    longest = np.take_along_axis(n0 + n1, level[..., None], axis=-1)[..., 0]
-    band = np.minimum(np.log2(longest + 1) / 3, BANDS - 1).astype(np.int64)
-    constant = np.full(stretched.shape[:-1] + (1,), 0.3, dtype=stretched.dtype)
-    return np.concatenate([stretched, constant], axis=-1), level * BANDS + band
+def stretch(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    return np.clip(np.log((n1 + DELTA) / (n0 + DELTA)), -REACH, REACH)
+
+
+def band_of(total: np.ndarray) -> np.ndarray:
+    """0 for a context never seen, else 1 and more the more often it was."""
+    return np.where(total > 0, 1 + np.minimum(np.log2(total + 1) / 3, BANDS - 1).astype(np.uint8), 0).astype(np.uint8)
+
+
+def gate_of(bands: np.ndarray) -> np.ndarray:
+    """The gate, from the orders' bands (order, ...): how many orders have seen their context, and the longest's band."""
+    level = (bands[1:] > 0).sum(axis=0)
+    longest = np.take_along_axis(bands, level[None], axis=0)[0]
+    return level * BANDS + np.maximum(longest, 1) - 1
+
+
+def inputs(slots: list[np.ndarray], zeros: np.ndarray, ones: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mixer inputs (..., order + constant) and the gate, ``bits`` being taken out of the counters that predict them."""
+    values, bands = [], []
+    for at in slots:
+        n1 = np.maximum(ones[at] - bits, 0)
+        n0 = np.maximum(zeros[at] - (1 - bits), 0)
+        values.append(stretch(n0, n1))
+        bands.append(band_of(n0 + n1))
+    values.append(np.full(bits.shape, CONSTANT))
+    return np.stack(values, axis=-1), gate_of(np.stack(bands))
 
 
 def initial_weights() -> np.ndarray:
@@ -247,16 +272,34 @@ def refined_map(observed: np.ndarray) -> np.ndarray:
     return (observed[0] + MAP_PRIOR * prior) / (observed[1] + MAP_PRIOR)
 
 
+def packed(arrays: Sequence[np.ndarray]) -> list[tuple[bytes, str, tuple[int, ...]]]:
+    """Arrays for a broadcast; tables that are mostly empty shrink to what they hold."""
+    return [(zlib.compress(a.tobytes(), 1), a.dtype.str, a.shape) for a in arrays]
+
+
+def unpacked(arrays: Sequence[tuple[bytes, str, tuple[int, ...]]]) -> list[np.ndarray]:
+    return [np.frombuffer(zlib.decompress(data), dtype=kind).reshape(shape) for data, kind, shape in arrays]
+
+
+def frozen(zeros: np.ndarray, ones: np.ndarray, weights: np.ndarray, refined: np.ndarray):
+    """The model as scoring reads it: per slot the stretched probability and band, then weights and adaptive map."""
+    values = stretch(zeros, ones).astype(np.float32)
+    return values, band_of(zeros + ones), weights.astype(np.float32), refined.astype(np.float32)
+
+
 def costs(grams: np.ndarray, model) -> np.ndarray:
     """Logarithm of the probability of each gram's last byte given the others."""
-    zeros, ones, weights, refined = model
+    values, bands, weights, refined = model
     result = np.empty(len(grams))
-    for start in range(0, len(grams), GRAM_BLOCK):
-        part = slice(start, start + GRAM_BLOCK)
+    for start in range(0, len(grams), COST_BLOCK):
+        part = slice(start, start + COST_BLOCK)
         slots, bits, so_far = slots_of(grams[part])
-        x, gate = inputs(slots, zeros, ones)
-        z = mixed(x, gate, weights)
-        p = np.clip((squash(z) + refined[so_far * CELLS + cell_of(z)]) / 2, 1e-6, 1 - 1e-6)
+        gate = gate_of(np.stack([bands[at] for at in slots]))
+        z = weights[:, ORDERS][gate] * np.float32(CONSTANT)
+        for order, at in enumerate(slots):
+            z += values[at] * weights[:, order][gate]
+        np.clip(z, -REACH, REACH, out=z)
+        p = np.clip((squash(z) + refined[so_far * CELLS + cell_of(z)]) / 2, 1e-6, 1 - 1e-6).astype(np.float64)
         result[part] = np.log(np.where(bits == 1, p, 1 - p)).sum(axis=1)
     return result
 
@@ -264,6 +307,15 @@ def costs(grams: np.ndarray, model) -> np.ndarray:
 class Memo:
     """Costs of grams already met, in a direct-mapped table; a gram whose place is taken is computed anew."""
 
+    @classmethod
+    def of(cls, name: str, load) -> Memo:
+        """The worker's memo, which lasts as long as it scores by the model called ``name``."""
+        held = per_process("memo", dict)
+        if name not in held:
+            held.clear()
+            held[name] = cls(load())
+        return held[name]
+
     def __init__(self, model):
         self.model = model
         self.gram = np.full(1 << MEMO_BITS, np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -286,7 +338,7 @@ class Memo:
 
 
 def train_model(grams: DataFrame, workspace: Workspace):
-    """Counters, weights and adaptive map, as plain arrays, from ``gram`` and ``n``, one row per gram."""
+    """The frozen model, as plain arrays, from ``gram`` and ``n``, one row per gram."""
     context = grams.sparkSession.sparkContext
 
     def counters(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -297,7 +349,7 @@ def train_model(grams: DataFrame, workspace: Workspace):
                 slots, bits, _ = slots_of(every[start : start + GRAM_BLOCK])
                 share = np.repeat(n[start : start + GRAM_BLOCK], 8).astype(float)
                 for order in range(ORDERS):
-                    at, place = np.unique(slots[:, :, order].ravel() - TABLE_START[order], return_inverse=True)
+                    at, place = np.unique(slots[order].ravel() - TABLE_START[order], return_inverse=True)
                     totals[order][0][at] += np.bincount(place, share * (bits.ravel() == 0))
                     totals[order][1][at] += np.bincount(place, share * bits.ravel())
         for order, total in enumerate(totals):
@@ -308,11 +360,13 @@ def train_model(grams: DataFrame, workspace: Workspace):
     sums = spread.mapInPandas(counters, "slot int, zeros double, ones double").groupBy("slot").agg(
         F.sum("zeros").cast("float").alias("zeros"), F.sum("ones").cast("float").alias("ones")
     )
-    found = workspace.write(sums, "counters").toPandas()
+    found = workspace.write(sums, "counters").toArrow()
+    slot = found["slot"].to_numpy()
     zeros = np.zeros(TABLE_START[-1], dtype=np.float32)
     ones = np.zeros(TABLE_START[-1], dtype=np.float32)
-    zeros[found["slot"]], ones[found["slot"]] = found["zeros"], found["ones"]
-    tables = context.broadcast((zeros, ones))
+    zeros[slot], ones[slot] = found["zeros"].to_numpy(), found["ones"].to_numpy()
+    del found, slot
+    tables = context.broadcast(packed((zeros, ones)))
 
     def whole(batches: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray]:
         parts = list(batches)
@@ -321,8 +375,9 @@ def train_model(grams: DataFrame, workspace: Workspace):
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # In blocks, so that a partition need not fit in memory: an average over blocks as over partitions.
+        counted = unpacked(tables.value)
         for part in batches:
-            weights, used = learn_weights(*whole(iter([part])), *tables.value)
+            weights, used = learn_weights(*whole(iter([part])), *counted)
             gate = np.repeat(np.arange(GATES), ORDERS + 1)
             place = np.tile(np.arange(ORDERS + 1), GATES)
             yield pd.DataFrame({"gate": gate, "input": place, "weight": weights.ravel(), "used": used[gate]})
@@ -334,9 +389,10 @@ def train_model(grams: DataFrame, workspace: Workspace):
         weights[row["gate"], row["input"]] = row["weight"]
 
     def observe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counted = unpacked(tables.value)
         seen = np.zeros((2, 256 * CELLS))
         for part in batches:
-            seen += count_map(*whole(iter([part])), *tables.value, weights)
+            seen += count_map(*whole(iter([part])), *counted, weights)
         at = np.flatnonzero(seen[1])
         yield pd.DataFrame({"cell": at, "ones": seen[0, at], "n": seen[1, at]})
 
@@ -344,7 +400,8 @@ def train_model(grams: DataFrame, workspace: Workspace):
     watched = spread.mapInPandas(observe, "cell int, ones double, n double")
     for row in watched.groupBy("cell").agg(F.sum("ones").alias("ones"), F.sum("n").alias("n")).collect():
         observed[:, row["cell"]] = row["ones"], row["n"]
-    return zeros, ones, weights, refined_map(observed)
+    tables.destroy()
+    return frozen(zeros, ones, weights, refined_map(observed))
 
 
 # --- scoring -------------------------------------------------------------------------------------
@@ -362,8 +419,8 @@ def frequent_words(vocabulary: DataFrame, most: int) -> dict[bytes, int]:
         least = row["n"]
     if least is None:
         return {}
-    found = vocabulary.filter(F.col("n") >= least).toPandas()
-    return dict(zip(map(bytes, found["word"]), found["n"].tolist(), strict=True))
+    found = vocabulary.filter(F.col("n") >= least).toArrow()
+    return dict(zip(found["word"].to_pylist(), found["n"].to_pylist(), strict=True))
 
 
 def score(
@@ -382,16 +439,18 @@ def score(
     summed = F.sum("n").alias("n")
     grams = workspace.write(statistics.filter("gram IS NOT NULL").groupBy("gram").agg(summed), "grams")
     vocabulary = workspace.write(statistics.filter("word IS NOT NULL").groupBy("word").agg(summed), "vocabulary")
-    model = spark.sparkContext.broadcast(train_model(grams, workspace))
+    model = spark.sparkContext.broadcast(packed(train_model(grams, workspace)))
     known = spark.sparkContext.broadcast(frequent_words(vocabulary, frequent))
     totals = vocabulary.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     ends = vocabulary.filter(F.col("word") == F.lit(b"")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     all_tokens = int(totals["n"])
     floor = float(np.log10(all_tokens + SMOOTHING * (totals["v"] + 1)))
 
+    name = uuid.uuid4().hex
+
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         value = {word: float(np.log10(n + SMOOTHING)) for word, n in known.value.items()}
-        memo = Memo(model.value)
+        memo = Memo.of(name, lambda: unpacked(model.value))
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             data = [lowered(t) for t in batch["text"]]
@@ -406,7 +465,7 @@ def score(
             bits = np.zeros(len(data))
             for grams, owner, start in blocks(enumerate(data)):
                 np.add.at(bits, owner, np.add.reduceat(memo(grams), start))
-            yield pd.DataFrame(
+            found = pd.DataFrame(
                 {
                     "row": np.arange(row, row + len(data)),
                     "key": batch["key"],
@@ -417,11 +476,13 @@ def score(
                     "score": bits / np.log(10),
                 }
             )
+            yield objects(found)
             row += len(data)
 
-    schema = f"row long, key {kind}, n_tokens long, met long, base double, others array<binary>, score double"
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(scored, schema)
-    rows = workspace.write(rows, "scored")
+    # Keys travel as text: a null among numbers would make pandas take them for floats.
+    schema = "row long, key string, n_tokens long, met long, base double, others array<binary>, score double"
+    rows = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text")).mapInPandas(scored, schema)
+    rows = workspace.write(rows.withColumn("key", F.col("key").cast(kind)), "scored")
     rare = rows.select("row", F.explode("others").alias("word")).join(vocabulary, "word", "left")
     n = F.coalesce("n", F.lit(0))
     rest = rare.groupBy(F.col("row").alias("row_")).agg(
