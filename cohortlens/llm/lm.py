@@ -1,23 +1,28 @@
 """Language-model scores: online logistic context mixing over bytes, beside a smoothed unigram base.
 
 The model predicts a text's bytes (A-Z lower-cased, one zero byte as the end) bit by bit. Six predictors, of orders 0
-to 5, look at the bits of the byte so far and at the bytes before it, hashed into counters of zeros and ones. Their
-stretched probabilities are mixed by weights that a gate selects (how many orders have seen their context and
+to 5, look at the bits of the byte so far and at the bytes before it, and have a counter of zeros and ones for every such
+context that the training part contains: no two contexts share one, and none is left out. Their stretched probabilities are mixed by weights that a gate selects (how many orders have seen their context and
 how often the longest of them), and the mixed probability is refined by an adaptive map per bit
 position and bits so far. A text's score is the sum of the logarithms of all bit probabilities.
 
 What is learned, and how. Counters hold what the whole training part contains: tasks count byte 6-grams, Spark adds
-them up, and counters follow from the sums, since whatever an order needs is a part of the 6-gram. Weights are learned
-online, in mini-batches in a stream of all grams weighted by their counts, in parallel over partitions, then averaged; the adaptive map
-is counted in a second pass. In both, an occurrence is left out of the counters that predict it, as it will not be in them
+them up, and counters follow from the sums, since whatever an order needs is a part of the 6-gram. Distinct grams are sharded by the
+``SHARD_ORDER`` bytes before the last, so that a shard holds all that the counters of these and longer contexts need;
+those of shorter ones are broadcast. Weights are learned online, in mini-batches in a stream of a shard's grams weighted by
+their counts, in parallel over shards, then averaged; the adaptive map is counted in a second pass. In both, an occurrence is left out of the counters that predict it, as it will not be in them
 when a new text is scored. Scoring freezes the model: scores then do not depend on which texts a task reads first, nor
-on lost executors. Every bit depends on the 6-gram only, so tasks compute a gram's cost once and remember it.
+on lost executors. Every bit depends on the 6-gram only, so shards compute the cost of every distinct gram, of texts held out too, once.
+The costs of the most frequent grams, ``FREQUENT_GRAMS`` at most, are broadcast; occurrences of others are joined with
+the costs by gram.
 
 The base: tokens are words and one end per text. Counts come from the same pass. The most frequent words, ``FREQUENT`` at
 most, are broadcast; occurrences of others are joined with the counts by word.
 
-How it scales. Two passes over the texts. What tasks count is flushed when it grows, and combined before shuffles.
-The driver gets counters (``sum(2**b for b in TABLE_BITS)`` at most), weights and the frequent words, all bounded.
+How it scales. Two passes over the texts. What tasks count is flushed when it grows, and combined before shuffles. The
+number of shards follows the number of distinct grams; the model's counters are in no one place.
+The driver gets counts of trigrams (2**24 there are, a dense row of 256 for each pair of bytes met), weights, the frequent grams
+and words, all bounded.
 
 Defined results: a null text is an empty one: its only token and byte is the end. Without training documents all
 counts are 0, and the model predicts by its initial weights. Null keys count as the empty text in the split. Repeated rows
@@ -41,12 +46,16 @@ from ..session import Workspace
 from .text import objects, per_process, remainder
 
 ORDERS = 6
+# Sizes of the tables of a model whose contexts are not numbered, see ``slots_of``; ``score`` numbers all of them.
 TABLE_BITS = (8, 16, 18, 20, 21, 21)
 TABLE_START = tuple(int(sum(1 << b for b in TABLE_BITS[:o])) for o in range(ORDERS + 1))
 GRAM = ORDERS  # bytes of a gram: the longest context and the byte itself
+SHARD_ORDER = 3
+GRAMS_PER_SHARD = 250_000
 
 SMOOTHING = 0.1
 FREQUENT = 300_000
+FREQUENT_GRAMS = 1 << 21
 
 # Words a task counts before it passes them on, bytes handled in one numpy step, grams evaluated in one.
 HELD_WORDS = 300_000
@@ -119,34 +128,43 @@ def blocks(texts: Iterator[tuple[int, bytes]]) -> Iterator[tuple[np.ndarray, np.
         yield flush()
 
 
-def corpus_statistics(docs: DataFrame, text: str) -> DataFrame:
-    """Partial counts of all texts: ``gram`` or ``word`` (the other is null; the empty word is the end) and ``n``."""
+def corpus_statistics(docs: DataFrame, text: str, held: Column) -> DataFrame:
+    """Partial counts of all texts: ``gram`` or ``word`` (the other is null; the empty word is the end), ``n`` of the
+    training part and, for grams, ``met`` in all texts. Words are those of the training part."""
 
-    def grams_of(grams: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"gram": pd.array(grams.astype(np.int64), dtype="Int64"), "word": None, "n": counts})
+    def grams_of(grams: np.ndarray, counts: np.ndarray, met: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"gram": pd.array(grams.astype(np.int64), dtype="Int64"), "word": None, "n": counts, "met": met})
 
     def words_of(words: Counter) -> pd.DataFrame:
-        return pd.DataFrame({"gram": pd.array([None] * len(words), dtype="Int64"), "word": list(words), "n": list(words.values())})
+        none, n = pd.array([None] * len(words), dtype="Int64"), list(words.values())
+        return pd.DataFrame({"gram": none, "word": list(words), "n": n, "met": n})
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pending: list[tuple[np.ndarray, np.ndarray]] = []
+        pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         words: Counter = Counter()
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            grams, place = np.unique(np.concatenate([g for g, _ in pending]), return_inverse=True)
-            return grams, np.bincount(place, np.concatenate([n for _, n in pending])).astype(np.int64)
+        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            grams, place = np.unique(np.concatenate([p[0] for p in pending]), return_inverse=True)
+            return grams, *(np.bincount(place, np.concatenate([p[k] for p in pending])).astype(np.int64) for k in (1, 2))
 
-        for batch in batches:
-            data = [lowered(t) for t in batch["text"]]
-            for one in data:
+        def parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list[bytes], bool]]:
+            for batch in batches:
+                held = batch["held"].to_numpy(dtype=bool)
+                for which in (False, True):
+                    yield [lowered(t) for t in batch["text"][held == which]], which
+
+        for data, is_held in parts(batches):
+            for one in () if is_held else data:
                 words.update(one.split())
                 if len(words) > HELD_WORDS:
                     yield words_of(words)
                     words = Counter()
-            words[b""] += len(data)
+            if data and not is_held:
+                words[b""] += len(data)
             for block, _, _ in blocks(enumerate(data)):
-                pending.append(np.unique(block, return_counts=True))
-                if sum(len(g) for g, _ in pending) > HELD_GRAMS:
+                found, met = np.unique(block, return_counts=True)
+                pending.append((found, met * (not is_held), met))
+                if sum(len(p[0]) for p in pending) > HELD_GRAMS:
                     pending = [merged()]
                     if len(pending[0][0]) > HELD_GRAMS // 2:
                         yield grams_of(*pending.pop())
@@ -155,20 +173,82 @@ def corpus_statistics(docs: DataFrame, text: str) -> DataFrame:
         if words:
             yield words_of(words)
 
-    rows = docs.select(F.col(text).alias("text"))
-    return rows.mapInPandas(counted, "gram long, word binary, n long")
+    rows = docs.select(F.col(text).alias("text"), held.alias("held"))
+    return rows.mapInPandas(counted, "gram long, word binary, n long, met long")
 
 
 # --- the model -----------------------------------------------------------------------------------
 
 
-def slots_of(grams: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Per order the counter slots (gram, bit); the bits, and the bits so far."""
+def bits_of(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bits (gram, bit) of the last byte, and the bits so far."""
     target = (grams & np.uint64(255)).astype(np.int64)
-    context = grams >> np.uint64(8)
     depth = np.arange(8)
-    so_far = (1 << depth) | (target[:, None] >> (8 - depth))
-    bits = (target[:, None] >> (7 - depth)) & 1
+    return (target[:, None] >> (7 - depth)) & 1, (1 << depth) | (target[:, None] >> (8 - depth))
+
+
+class Short:
+    """Counters of the contexts below ``SHARD_ORDER``: a row of 256 bits so far for each, and one of zeros for all others."""
+
+    def __init__(self, trigrams: np.ndarray, n: np.ndarray):
+        pairs, row = np.unique(trigrams >> 8, return_inverse=True)
+        counts = np.bincount(row * 256 + (trigrams & 255), n, minlength=256 * len(pairs)).reshape(-1, 256)
+        self.row, self.zeros, self.ones = [], [], []
+        for order in range(SHARD_ORDER):
+            known, at = np.unique(pairs & ((1 << (8 * order)) - 1), return_inverse=True)
+            bytes_of = np.zeros((len(known) + 1, 256))
+            np.add.at(bytes_of, at, counts)
+            place = np.full(1 << (8 * order), len(known), dtype=np.int32)
+            place[known] = np.arange(len(known))
+            sums = np.zeros((2, len(bytes_of), 256), dtype=np.float32)
+            for depth in range(8):
+                halves = bytes_of.reshape(len(bytes_of), 1 << depth, 2, -1).sum(axis=-1)
+                sums[:, :, 1 << depth : 2 << depth] = np.moveaxis(halves, -1, 0)
+            self.row.append(place)
+            self.zeros.append(sums[0].ravel())
+            self.ones.append(sums[1].ravel())
+
+    def of(self, order: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Zeros and ones of an order's nodes (context, bits so far)."""
+        at = self.row[order][nodes >> 8].astype(np.int64) * 256 + (nodes & 255)
+        return self.zeros[order][at], self.ones[order][at]
+
+
+class Shard:
+    """Exact counters of all contexts of a shard's grams, numbered; the counters of an order follow those of the one before."""
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray, short: Short):
+        self.grams, self.n = grams, n
+        self.bits, self.so_far = bits_of(grams)
+        context = (grams >> np.uint64(8)).astype(np.int64)
+        self.slots, zeros, ones, first = [], [], [], 0
+        for order in range(ORDERS):
+            known = context & ((1 << (8 * order)) - 1)
+            nodes, at = np.unique((known[:, None] << 8) | self.so_far, return_inverse=True)
+            at = at.reshape(self.bits.shape)
+            if order < SHARD_ORDER:
+                found = short.of(order, nodes)
+            else:
+                share = n[:, None].astype(float)
+                found = [np.bincount(at.ravel(), (share * which).ravel(), minlength=len(nodes)) for which in (1 - self.bits, self.bits)]
+            zeros.append(found[0])
+            ones.append(found[1])
+            self.slots.append((at + first).astype(np.int32))
+            first += len(nodes)
+        self.zeros, self.ones = (np.concatenate(x).astype(np.float32) for x in (zeros, ones))
+
+    def __len__(self) -> int:
+        return len(self.grams)
+
+    def part(self, chosen) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """What ``slots_of`` returns, of some of the grams."""
+        return [at[chosen] for at in self.slots], self.bits[chosen], self.so_far[chosen]
+
+
+def slots_of(grams: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Per order the counter slots (gram, bit), hashed into ``TABLE_BITS``; the bits, and the bits so far."""
+    context = grams >> np.uint64(8)
+    bits, so_far = bits_of(grams)
     step = so_far.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     slots = []
     for order in range(ORDERS):
@@ -230,18 +310,18 @@ def cell_of(z: np.ndarray) -> np.ndarray:
     return np.rint((z + REACH) * CELLS_PER_UNIT).astype(np.int64)
 
 
-def learn_weights(grams: np.ndarray, counts: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Online mixing weights over a stream of grams, and how much each gate was used."""
+def learn_weights(shard: Shard) -> tuple[np.ndarray, np.ndarray]:
+    """Online mixing weights over a stream of a shard's grams, and how much each gate was used."""
     weights = initial_weights()
     used = np.zeros(GATES)
-    order = np.argsort(grams * np.uint64(0x9E3779B97F4A7C15), kind="stable")
+    order = np.argsort(shard.grams * np.uint64(0x9E3779B97F4A7C15), kind="stable")
     for epoch in range(EPOCHS):
         rate = RATE / (1 + epoch)
         for start in range(0, len(order), BATCH):
             chosen = order[start : start + BATCH]
-            slots, bits, _ = slots_of(grams[chosen])
-            x, gate = inputs(slots, zeros, ones, bits)
-            share = np.repeat(counts[chosen], 8).astype(float)
+            slots, bits, _ = shard.part(chosen)
+            x, gate = inputs(slots, shard.zeros, shard.ones, bits)
+            share = np.repeat(shard.n[chosen], 8).astype(float)
             x, gate, bits = x.reshape(-1, ORDERS + 1), gate.ravel(), bits.ravel()
             error = (bits - squash(mixed(x, gate, weights))) * share
             total = np.bincount(gate, share, minlength=GATES)
@@ -251,15 +331,15 @@ def learn_weights(grams: np.ndarray, counts: np.ndarray, zeros: np.ndarray, ones
     return weights, used
 
 
-def count_map(grams: np.ndarray, counts: np.ndarray, zeros, ones, weights) -> np.ndarray:
+def count_map(shard: Shard, weights: np.ndarray) -> np.ndarray:
     """Observations of the adaptive map: (ones or all, bits so far, cell)."""
     result = np.zeros((2, 256 * CELLS))
-    for start in range(0, len(grams), GRAM_BLOCK):
+    for start in range(0, len(shard), GRAM_BLOCK):
         part = slice(start, start + GRAM_BLOCK)
-        slots, bits, so_far = slots_of(grams[part])
-        x, gate = inputs(slots, zeros, ones, bits)
+        slots, bits, so_far = shard.part(part)
+        x, gate = inputs(slots, shard.zeros, shard.ones, bits)
         cell = (so_far * CELLS + cell_of(mixed(x, gate, weights))).ravel()
-        share = np.repeat(counts[part], 8).astype(float)
+        share = np.repeat(shard.n[part], 8).astype(float)
         result[0] += np.bincount(cell, share * bits.ravel(), minlength=256 * CELLS)
         result[1] += np.bincount(cell, share, minlength=256 * CELLS)
     return result
@@ -287,13 +367,13 @@ def frozen(zeros: np.ndarray, ones: np.ndarray, weights: np.ndarray, refined: np
     return values, band_of(zeros + ones), weights.astype(np.float32), refined.astype(np.float32)
 
 
-def costs(grams: np.ndarray, model) -> np.ndarray:
-    """Logarithm of the probability of each gram's last byte given the others."""
+def costs(grams: np.ndarray, model, slots_at=None) -> np.ndarray:
+    """Logarithm of the probability of each gram's last byte given the others; ``slots_at`` gives the slots of a part of them."""
     values, bands, weights, refined = model
     result = np.empty(len(grams))
     for start in range(0, len(grams), COST_BLOCK):
         part = slice(start, start + COST_BLOCK)
-        slots, bits, so_far = slots_of(grams[part])
+        slots, bits, so_far = slots_at(part) if slots_at else slots_of(grams[part])
         gate = gate_of(np.stack([bands[at] for at in slots]))
         z = weights[:, ORDERS][gate] * np.float32(CONSTANT)
         for order, at in enumerate(slots):
@@ -308,16 +388,16 @@ class Memo:
     """Costs of grams already met, in a direct-mapped table; a gram whose place is taken is computed anew."""
 
     @classmethod
-    def of(cls, name: str, load) -> Memo:
+    def of(cls, name: str, load, evaluate) -> Memo:
         """The worker's memo, which lasts as long as it scores by the model called ``name``."""
         held = per_process("memo", dict)
         if name not in held:
             held.clear()
-            held[name] = cls(load())
+            held[name] = cls(load(), evaluate)
         return held[name]
 
-    def __init__(self, model):
-        self.model = model
+    def __init__(self, model, evaluate=costs):
+        self.model, self.evaluate = model, evaluate
         self.gram = np.full(1 << MEMO_BITS, np.iinfo(np.uint64).max, dtype=np.uint64)
         self.cost = np.zeros(1 << MEMO_BITS, dtype=np.float32)
 
@@ -327,7 +407,7 @@ class Memo:
         missed = np.flatnonzero(self.gram[place] != grams)
         if len(missed):
             new, inverse = np.unique(grams[missed], return_inverse=True)
-            value = costs(new, self.model)
+            value = self.evaluate(new, self.model)
             result[missed] = value[inverse].astype(np.float32)
             at = ((new * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
             free = self.gram[at] == np.iinfo(np.uint64).max
@@ -337,109 +417,121 @@ class Memo:
         return result
 
 
-def train_model(grams: DataFrame, workspace: Workspace):
-    """The frozen model, as plain arrays, from ``gram`` and ``n``, one row per gram."""
-    context = grams.sparkSession.sparkContext
+def listed(grams: np.ndarray, table: Sequence[np.ndarray]) -> np.ndarray:
+    """Costs from a table of sorted grams and their costs; NaN for grams that it does not list."""
+    known, cost = table
+    if not len(known):
+        return np.full(len(grams), np.nan)
+    at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+    return np.where(known[at] == grams, cost[at], np.nan)
 
-    def counters(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = [np.zeros((2, 1 << b)) for b in TABLE_BITS]
-        for batch in batches:
-            every, n = batch["gram"].to_numpy().astype(np.uint64), batch["n"].to_numpy()
-            for start in range(0, len(every), GRAM_BLOCK):
-                slots, bits, _ = slots_of(every[start : start + GRAM_BLOCK])
-                share = np.repeat(n[start : start + GRAM_BLOCK], 8).astype(float)
-                for order in range(ORDERS):
-                    at, place = np.unique(slots[order].ravel() - TABLE_START[order], return_inverse=True)
-                    totals[order][0][at] += np.bincount(place, share * (bits.ravel() == 0))
-                    totals[order][1][at] += np.bincount(place, share * bits.ravel())
-        for order, total in enumerate(totals):
-            at = np.flatnonzero(total.sum(axis=0))
-            yield pd.DataFrame({"slot": at + TABLE_START[order], "zeros": total[0, at], "ones": total[1, at]})
-
-    spread = grams.repartition(TRAINING_PARTS, "gram")
-    sums = spread.mapInPandas(counters, "slot int, zeros double, ones double").groupBy("slot").agg(
-        F.sum("zeros").cast("float").alias("zeros"), F.sum("ones").cast("float").alias("ones")
-    )
-    found = workspace.write(sums, "counters").toArrow()
-    slot = found["slot"].to_numpy()
-    zeros = np.zeros(TABLE_START[-1], dtype=np.float32)
-    ones = np.zeros(TABLE_START[-1], dtype=np.float32)
-    zeros[slot], ones[slot] = found["zeros"].to_numpy(), found["ones"].to_numpy()
-    del found, slot
-    tables = context.broadcast(packed((zeros, ones)))
-
-    def whole(batches: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray]:
-        parts = list(batches)
-        every = [np.zeros(0, dtype=np.uint64), *(p["gram"].to_numpy().astype(np.uint64) for p in parts)]
-        return np.concatenate(every), np.concatenate([np.zeros(0), *(p["n"].to_numpy() for p in parts)])
+
+def gram_costs(grams: DataFrame, workspace: Workspace, per_shard: int = GRAMS_PER_SHARD) -> DataFrame:
+    """``gram``, ``met`` and ``cost`` from ``gram``, ``n`` and ``met``, one row per gram."""
+    context = grams.sparkSession.sparkContext
+    shards = max(TRAINING_PARTS, -(-grams.count() // per_shard))
+    spread = grams.repartition(shards, F.shiftrightunsigned("gram", 8).bitwiseAND((1 << (8 * SHARD_ORDER)) - 1))
+    trained = spread.filter("n > 0")
+    ends = grams.filter("n > 0").groupBy(F.col("gram").bitwiseAND((1 << (8 * SHARD_ORDER)) - 1).alias("gram"))
+    counted = ends.agg(F.sum("n").alias("n")).toArrow()
+    counts = context.broadcast(packed([counted[c].to_numpy() for c in ("gram", "n")]))
+    del counted
+
+    def whole(batches: Iterator[pd.DataFrame]) -> tuple[Shard, np.ndarray] | None:
+        parts = [p for p in batches if len(p)]
+        if not parts:
+            return None
+        found = {c: np.concatenate([p[c].to_numpy() for p in parts]) for c in ("gram", "n", "met")}
+        return Shard(found["gram"].astype(np.uint64), found["n"], Short(*unpacked(counts.value))), found["met"]
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # In blocks, so that a partition need not fit in memory: an average over blocks as over partitions.
-        counted = unpacked(tables.value)
-        for part in batches:
-            weights, used = learn_weights(*whole(iter([part])), *counted)
+        if found := whole(batches):
+            weights, used = learn_weights(found[0])
             gate = np.repeat(np.arange(GATES), ORDERS + 1)
             place = np.tile(np.arange(ORDERS + 1), GATES)
             yield pd.DataFrame({"gate": gate, "input": place, "weight": weights.ravel(), "used": used[gate]})
 
     weights = initial_weights()
     average = F.sum(F.col("weight") * F.col("used")) / F.sum("used")
-    learned = spread.mapInPandas(weigh, "gate int, input int, weight double, used double").filter("used > 0")
+    learned = trained.mapInPandas(weigh, "gate int, input int, weight double, used double").filter("used > 0")
     for row in learned.groupBy("gate", "input").agg(average.alias("weight")).collect():
         weights[row["gate"], row["input"]] = row["weight"]
 
     def observe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counted = unpacked(tables.value)
-        seen = np.zeros((2, 256 * CELLS))
-        for part in batches:
-            seen += count_map(*whole(iter([part])), *counted, weights)
-        at = np.flatnonzero(seen[1])
-        yield pd.DataFrame({"cell": at, "ones": seen[0, at], "n": seen[1, at]})
+        if found := whole(batches):
+            seen = count_map(found[0], weights)
+            at = np.flatnonzero(seen[1])
+            yield pd.DataFrame({"cell": at, "ones": seen[0, at], "n": seen[1, at]})
 
     observed = np.zeros((2, 256 * CELLS))
-    watched = spread.mapInPandas(observe, "cell int, ones double, n double")
+    watched = trained.mapInPandas(observe, "cell int, ones double, n double")
     for row in watched.groupBy("cell").agg(F.sum("ones").alias("ones"), F.sum("n").alias("n")).collect():
         observed[:, row["cell"]] = row["ones"], row["n"]
-    tables.destroy()
-    return frozen(zeros, ones, weights, refined_map(observed))
+    refined = refined_map(observed)
+
+    def evaluate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if found := whole(batches):
+            shard, met = found
+            model = frozen(shard.zeros, shard.ones, weights, refined)
+            cost = costs(shard.grams, model, shard.part)
+            yield pd.DataFrame({"gram": shard.grams.astype(np.int64), "met": met, "cost": cost})
+
+    return workspace.write(spread.mapInPandas(evaluate, "gram long, met long, cost double"), "costs")
 
 
 # --- scoring -------------------------------------------------------------------------------------
 
 
-def frequent_words(vocabulary: DataFrame, most: int) -> dict[bytes, int]:
-    """The words counted most often: as many whole classes of equal counts as fit into ``most``."""
-    classes = vocabulary.groupBy("n").count()
-    # Fewer than sqrt(2 N) different counts can add up to N words.
+def least_count(table: DataFrame, most: int, n: str = "n") -> int | None:
+    """The least count of the most frequent rows: as many whole classes of equal counts as fit into ``most``."""
+    classes = table.groupBy(n).count()
+    # Fewer than sqrt(2 N) different counts can add up to N rows.
     least, room = None, most
-    for row in classes.orderBy(F.desc("n")).limit(most).toLocalIterator():
+    for row in classes.orderBy(F.desc(n)).limit(most).toLocalIterator():
         room -= row["count"]
         if room < 0:
             break
-        least = row["n"]
+        least = row[n]
+    return least
+
+
+def frequent_words(vocabulary: DataFrame, most: int) -> dict[bytes, int]:
+    """The words counted most often, ``most`` at most."""
+    least = least_count(vocabulary, most)
     if least is None:
         return {}
     found = vocabulary.filter(F.col("n") >= least).toArrow()
     return dict(zip(found["word"].to_pylist(), found["n"].to_pylist(), strict=True))
 
 
+def frequent_costs(every: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The grams met most often, ``most`` at most, in order, and their costs."""
+    least = least_count(every, most, "met")
+    found = every.filter(F.col("met") >= least if least is not None else F.lit(False)).select("gram", "cost").toArrow()
+    grams, cost = found["gram"].to_numpy().astype(np.uint64), found["cost"].to_numpy().astype(np.float32)
+    order = np.argsort(grams)
+    return grams[order], cost[order]
+
+
 def score(
     docs: DataFrame,
     *,
     key: str = "doc_id",
     text: str = "text",
     frequent: int = FREQUENT,
+    frequent_grams: int = FREQUENT_GRAMS,
     workspace: Workspace | None = None,
 ) -> DataFrame:
     """Per document: key, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     workspace = workspace or Workspace(spark)
     kind = docs.schema[key].dataType.simpleString()
-    statistics = workspace.write(corpus_statistics(docs.filter(~held_out(F.col(key))), text), "statistics")
-    summed = F.sum("n").alias("n")
-    grams = workspace.write(statistics.filter("gram IS NOT NULL").groupBy("gram").agg(summed), "grams")
+    statistics = workspace.write(corpus_statistics(docs, text, held_out(F.col(key))), "statistics")
+    summed, met = F.sum("n").alias("n"), F.sum("met").alias("met")
+    grams = workspace.write(statistics.filter("gram IS NOT NULL").groupBy("gram").agg(summed, met), "grams")
     vocabulary = workspace.write(statistics.filter("word IS NOT NULL").groupBy("word").agg(summed), "vocabulary")
-    model = spark.sparkContext.broadcast(packed(train_model(grams, workspace)))
+    every = gram_costs(grams, workspace)
+    table = spark.sparkContext.broadcast(packed(frequent_costs(every, frequent_grams)))
     known = spark.sparkContext.broadcast(frequent_words(vocabulary, frequent))
     totals = vocabulary.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     ends = vocabulary.filter(F.col("word") == F.lit(b"")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -450,7 +542,7 @@ def score(
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         value = {word: float(np.log10(n + SMOOTHING)) for word, n in known.value.items()}
-        memo = Memo.of(name, lambda: unpacked(model.value))
+        memo = Memo.of(name, lambda: unpacked(table.value), listed)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             data = [lowered(t) for t in batch["text"]]
@@ -463,8 +555,15 @@ def score(
                 tokens.append(len(words) + 1)
                 others.append([w for w in words if w not in value] if len(found) < len(words) else [])
             bits = np.zeros(len(data))
+            unlisted: list[list[np.ndarray]] = [[] for _ in data]
             for grams, owner, start in blocks(enumerate(data)):
-                np.add.at(bits, owner, np.add.reduceat(memo(grams), start))
+                cost = memo(grams)
+                missed = np.isnan(cost)
+                if missed.any():
+                    cost[missed] = 0
+                    for one, first, end in zip(owner, start, [*start[1:], len(grams)], strict=True):
+                        unlisted[one].append(grams[first:end][missed[first:end]].astype(np.int64))
+                np.add.at(bits, owner, np.add.reduceat(cost, start))
             found = pd.DataFrame(
                 {
                     "row": np.arange(row, row + len(data)),
@@ -473,14 +572,15 @@ def score(
                     "met": met,
                     "base": base,
                     "others": others,
-                    "score": bits / np.log(10),
+                    "unlisted": [np.concatenate(u) if u else np.zeros(0, dtype=np.int64) for u in unlisted],
+                    "bits": bits,
                 }
             )
             yield objects(found)
             row += len(data)
 
     # Keys travel as text: a null among numbers would make pandas take them for floats.
-    schema = "row long, key string, n_tokens long, met long, base double, others array<binary>, score double"
+    schema = "row long, key string, n_tokens long, met long, base double, others array<binary>, unlisted array<long>, bits double"
     rows = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text")).mapInPandas(scored, schema)
     rows = workspace.write(rows.withColumn("key", F.col("key").cast(kind)), "scored")
     rare = rows.select("row", F.explode("others").alias("word")).join(vocabulary, "word", "left")
@@ -488,7 +588,10 @@ def score(
     rest = rare.groupBy(F.col("row").alias("row_")).agg(
         F.sum(F.log10(n + SMOOTHING) - floor).alias("more"), F.sum((n > 0).cast("long")).alias("more_met")
     )
-    joined = rows.drop("others").join(rest, F.col("row") == F.col("row_"), "left")
+    few = rows.select("row", F.explode("unlisted").alias("gram")).join(every.select("gram", "cost"), "gram")
+    cost = few.groupBy(F.col("row").alias("row__")).agg(F.sum("cost").alias("more_bits"))
+    joined = rows.drop("others", "unlisted").join(rest, F.col("row") == F.col("row_"), "left")
+    joined = joined.join(cost, F.col("row") == F.col("row__"), "left")
     return joined.select(
         F.col("key").alias(key),
         held_out(F.col("key")).alias("held_out"),
@@ -496,5 +599,5 @@ def score(
         (F.col("met") + F.coalesce("more_met", F.lit(0))).alias("n_known"),
         F.lit(all_tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
+        ((F.col("bits") + F.coalesce("more_bits", F.lit(0.0))) / float(np.log(10))).alias("score"),
     )

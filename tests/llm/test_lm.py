@@ -100,3 +100,48 @@ def test_empty_table_and_nothing_to_learn(no_docs, spark):
     row = lm.score(spark.createDataFrame([(held, "a b")], "doc_id long, text string")).first()
     assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0) and row.score < 0
     assert row.base_score == pytest.approx(3 * math.log10(0.1 / 0.1))
+
+
+def counters_by_hand(counts, gram, order, bit):
+    """Zeros and ones that follow the same ``order`` bytes and the same bits of the last byte."""
+    found = [0, 0]
+    for other, n in counts.items():
+        same = (other >> 8) % (1 << 8 * order) == (gram >> 8) % (1 << 8 * order) and (other & 255) >> (8 - bit) == (gram & 255) >> (8 - bit)
+        found[(other >> (7 - bit)) & 1] += n * same
+    return found
+
+
+def test_no_two_contexts_share_a_counter():
+    """More contexts than the largest fixed table had places: each one's counter holds its own grams only."""
+    rng = np.random.default_rng(4)
+    grams = np.unique(rng.integers(0, 1 << 48, 600_000, dtype=np.uint64))
+    n = np.arange(len(grams)) % 5
+    ends, at = np.unique(grams.astype(np.int64) & 0xFFFFFF, return_inverse=True)
+    shard = lm.Shard(grams, n, lm.Short(ends, np.bincount(at, n)))
+    nodes = len(np.unique(shard.slots[5]))
+    assert nodes > 1 << lm.TABLE_BITS[5]
+    # Random contexts of five bytes are nearly all met once, by one gram.
+    assert (shard.zeros + shard.ones)[shard.slots[5][:, 0]].mean() == pytest.approx(n.mean(), rel=0.01)
+
+
+def test_counters_agree_with_brute_force():
+    rng = np.random.default_rng(5)
+    grams = np.unique([int.from_bytes(bytes(rng.choice(list(b"ab c\xc3"), 6).tolist()), "big") for _ in range(150)]).astype(np.uint64)
+    n = rng.integers(0, 6, len(grams))
+    ends, at = np.unique(grams.astype(np.int64) & 0xFFFFFF, return_inverse=True)
+    shard = lm.Shard(grams, n, lm.Short(ends, np.bincount(at, n)))
+    counts = dict(zip(grams.tolist(), n.tolist(), strict=True))
+    for i in range(0, len(grams), 7):
+        for order in range(lm.ORDERS):
+            for bit in range(8):
+                slot = shard.slots[order][i, bit]
+                assert [shard.zeros[slot], shard.ones[slot]] == counters_by_hand(counts, int(grams[i]), order, bit)
+
+
+@pytest.mark.parametrize("frequent_grams", [50, 0])
+def test_grams_that_are_not_broadcast_are_joined(odd_docs, frequent_grams):
+    def scores(**more):
+        return sorted((r.doc_id or -1, r.n_tokens, round(r.score, 2)) for r in lm.score(odd_docs, **more).collect())
+
+    for a, b in zip(scores(), scores(frequent_grams=frequent_grams), strict=True):
+        assert a == pytest.approx(b, rel=1e-3)
