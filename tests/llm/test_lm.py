@@ -145,3 +145,20 @@ def test_grams_that_are_not_broadcast_are_joined(odd_docs, frequent_grams):
 
     for a, b in zip(scores(), scores(frequent_grams=frequent_grams), strict=True):
         assert a == pytest.approx(b, rel=1e-3)
+
+
+def test_weights_do_not_depend_on_the_size_of_arrow_batches(spark):
+    docs = spark.createDataFrame([(i, prose(i, 60)) for i in range(30)], "doc_id long, text string").repartition(2)
+
+    def scores():
+        return sorted((r.doc_id, r.score) for r in lm.score(docs).collect())
+
+    usual, name = scores(), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, 100)
+    try:
+        small = scores()
+    finally:
+        spark.conf.set(name, before)
+    for (_, a), (_, b) in zip(usual, small, strict=True):
+        assert a == pytest.approx(b, rel=1e-5)
