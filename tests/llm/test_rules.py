@@ -53,6 +53,16 @@ def test_keep_returns_the_rows_that_pass_unchanged(odd_docs):
     assert kept.exceptAll(odd_docs).isEmpty()
 
 
+@pytest.mark.parametrize("condition", ["kept", "n_words > 100 and n_repeat_words >= 0", "base_failed or n_symbols = 0"])
+def test_the_report_can_be_filtered_and_joined(spark, condition):
+    texts = [(1, prose(1, 30_000)), (2, prose(2, 300)), (3, "word " * 5_000), (4, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    report = rules.rules_report(docs)
+    expected = {r.doc_id for r in spark.createDataFrame(report.collect(), report.schema).filter(condition).collect()}
+    assert {r.doc_id for r in report.filter(condition).collect()} == expected
+    assert {r.doc_id for r in docs.join(report.filter(condition), "doc_id").collect()} == expected
+
+
 def test_prose_stays_and_junk_goes(spark):
     good = prose(1, 200)
     junk = {
