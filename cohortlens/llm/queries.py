@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from . import ann, html_text, langid, lm, mixing, packing, quality, rules, simhash, toxicity
+from . import ann, audit, html_text, langid, lm, mixing, packing, quality, rules, simhash, toxicity
 from .twins import TWINS
 
 __all__ = ["QUERIES", "TWINS"]
@@ -70,6 +70,10 @@ def op10_context_mixing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,5 +87,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_host_suffix_text,
         op10_context_mixing_scores,
+        op11_filter_audit,
     )
 }

@@ -83,4 +83,61 @@ SELECT doc_id, size, source_size, target, (size * coalesce(sent.n, 0))::BIGINT A
 FROM queued LEFT JOIN sent USING (rid)
 """
 
-TWINS = {"op7_quality_rules": OP7_QUALITY_RULES, "op8_source_mixing": OP8_SOURCE_MIXING}
+OP11_FILTER_AUDIT = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), good AS (
+    SELECT DISTINCT doc_id FROM labels WHERE quality = 1
+), bad AS (
+    SELECT DISTINCT doc_id FROM labels WHERE toxic = 1
+), marked AS (
+    SELECT part,
+           len(words) < 200 AS a,
+           100 * len(list_distinct(words)) < 50 * len(words) AS b,
+           100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) AS c,
+           regexp_matches(t, '[#$%&*|]') AS d,
+           coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e,
+           doc_id IN (FROM good) AS is_good,
+           doc_id IN (FROM bad) AS is_toxic
+    FROM docs
+), cells AS (
+    SELECT part, [a, b, c, d, e] AS fails, count(*) AS n,
+           count(*) FILTER (is_good) AS good, count(*) FILTER (is_toxic) AS toxic
+    FROM marked GROUP BY ALL
+), filters AS (
+    SELECT unnest(range(1, 6)) AS f
+), orders AS (
+    SELECT [p.f, q.f, r.f, s.f, t.f] AS perm
+    FROM filters p, filters q, filters r, filters s, filters t
+    WHERE len(list_distinct([p.f, q.f, r.f, s.f, t.f])) = 5
+), steps AS (
+    SELECT perm, unnest(range(1, 6)) AS step FROM orders
+), seen AS (
+    SELECT part, perm, step, perm[step] AS own, n, good, toxic, fails[perm[step]] AS fails_own,
+           len(list_filter(perm[1 : step - 1], lambda f: fails[f])) > 0 AS gone,
+           len(list_filter(fails, lambda x: x)) AS n_fails
+    FROM cells, steps
+), summed AS (
+    SELECT part, perm, step, own,
+           coalesce(sum(n) FILTER (NOT gone AND NOT fails_own), 0) AS kept,
+           coalesce(sum(n) FILTER (NOT gone AND fails_own), 0) AS removed,
+           coalesce(sum(n) FILTER (gone AND fails_own), 0) AS redundant,
+           coalesce(sum(n) FILTER (fails_own AND n_fails = 1), 0) AS unique_fails,
+           coalesce(sum(good) FILTER (NOT gone AND fails_own), 0) AS good_lost,
+           coalesce(sum(toxic) FILTER (NOT gone AND fails_own), 0) AS toxic_lost
+    FROM seen GROUP BY ALL
+)
+SELECT part, array_to_string(list_transform(perm, lambda f: chr(64 + f::INTEGER)), '') AS filter_order, step::INTEGER AS step,
+       kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM summed
+"""
+
+TWINS = {
+    "op7_quality_rules": OP7_QUALITY_RULES,
+    "op8_source_mixing": OP8_SOURCE_MIXING,
+    "op11_filter_audit": OP11_FILTER_AUDIT,
+}
