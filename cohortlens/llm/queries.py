@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from . import ann, audit, html_text, langid, lm, mixing, packing, quality, rules, simhash, toxicity
+from . import ann, audit, decontaminate, html_text, langid, lm, mixing, packing, quality, rules, simhash, toxicity
 from .twins import TWINS
 
 __all__ = ["QUERIES", "TWINS"]
@@ -74,6 +74,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -88,5 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_host_suffix_text,
         op10_context_mixing_scores,
         op11_filter_audit,
+        op12_wu_manber_decontamination,
     )
 }

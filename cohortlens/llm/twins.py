@@ -136,8 +136,42 @@ SELECT part, array_to_string(list_transform(perm, lambda f: chr(64 + f::INTEGER)
 FROM summed
 """
 
+OP12_DECONTAMINATION = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), items AS (
+    SELECT coalesce(item_id::VARCHAR, '') AS item,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item, len(w) AS n, array_to_string(w, ' ') AS gram
+    FROM (SELECT item, words[i : i + 9] AS w
+          FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM items WHERE len(words) > 0))
+), sizes AS (
+    SELECT DISTINCT n FROM windows
+), grams AS (
+    SELECT rid, n, i, array_to_string(words[i : i + n - 1], ' ') AS gram
+    FROM (SELECT rid, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM docs, sizes)
+), found AS (
+    SELECT rid, i, n, item FROM grams JOIN windows USING (n, gram)
+), hit AS (
+    SELECT rid, count(DISTINCT k) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS k FROM found) GROUP BY rid
+), held AS (
+    SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT rid, item FROM found) GROUP BY rid
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (rid) LEFT JOIN held USING (rid)
+"""
+
 TWINS = {
     "op7_quality_rules": OP7_QUALITY_RULES,
     "op8_source_mixing": OP8_SOURCE_MIXING,
     "op11_filter_audit": OP11_FILTER_AUDIT,
+    "op12_wu_manber_decontamination": OP12_DECONTAMINATION,
 }
