@@ -284,9 +284,7 @@ def _merged(docs: DataFrame, sets: list[DataFrame]) -> DataFrame:
     def add(state: Column, span: Column) -> Column:
         last = span["first"] + span["n"]
         new = F.greatest(last - F.greatest(span["first"], state["reach"]), F.lit(0))
-        return F.struct(
-            F.greatest(state["reach"], last).alias("reach"), (state["n"] + new).alias("n")
-        )
+        return F.struct(F.greatest(state["reach"], last).alias("reach"), (state["n"] + new).alias("n"))
 
     zero = F.lit(0).cast("long")
     n_hit = F.aggregate("spans", F.struct(zero.alias("reach"), zero.alias("n")), add, lambda s: s["n"])
@@ -343,6 +341,10 @@ def contaminated(
     else:
         marked = carried.withColumn("mark", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
         schema = f"key {kind}, mark binary, spans array<struct<first:long,n:long>>, items array<string>"
-        sets = [workspace.write(marked.mapInArrow(_partial(tables(s)), schema), f"hits-{s}") for s in range(n_sets)]
+        sets = []
+        for number in range(n_sets):
+            held = tables(number)
+            sets.append(workspace.write(marked.mapInArrow(_partial(held), schema), f"hits-{number}"))
+            held.unpersist()
         answered = _merged(marked, sets)
     return answered.withColumnRenamed("key", key)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from . import ann, audit, decontaminate, html_text, langid, lm, mixing, packing, quality, rules, simhash, toxicity
+from . import ann, audit, decontaminate, html_text, langid, lm, mixing, negatives, packing, quality, rules, simhash, toxicity
 from .twins import TWINS
 
 __all__ = ["QUERIES", "TWINS"]
@@ -78,6 +78,11 @@ def op12_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_bond_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=changed)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,5 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_context_mixing_scores,
         op11_filter_audit,
         op12_wu_manber_decontamination,
+        op13_bond_hard_negatives,
     )
 }

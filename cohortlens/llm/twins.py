@@ -169,9 +169,35 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM docs LEFT JOIN hit USING (rid) LEFT JOIN held USING (rid)
 """
 
+OP13_HARD_NEGATIVES = r"""
+WITH valid AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, list_inner_product(a.q, b.q)::BIGINT AS score
+    FROM valid a JOIN valid b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+    WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), negatives AS (
+    SELECT anchor_id, vec_id AS negative_id, score AS negative_score FROM scored WHERE NOT alike
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id))::INTEGER AS rank,
+       negative_id, positive_score, negative_score
+FROM positives JOIN negatives USING (anchor_id)
+WHERE 50 * positive_score <= 100 * negative_score AND 100 * negative_score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) <= 3
+"""
+
 TWINS = {
     "op7_quality_rules": OP7_QUALITY_RULES,
     "op8_source_mixing": OP8_SOURCE_MIXING,
     "op11_filter_audit": OP11_FILTER_AUDIT,
     "op12_wu_manber_decontamination": OP12_DECONTAMINATION,
+    "op13_bond_hard_negatives": OP13_HARD_NEGATIVES,
 }
