@@ -425,6 +425,9 @@ BODIES = {
     # sources and sinks
     "csv_round_trip": """
 select cast(conv_id as varchar) as conv_id, cast(turn as varchar) as turn, role, text from conversations""",
+    "csv_quotes_in_fields": """
+select cast(p_partkey as varchar) as part, p_size || '" x ' || p_size || '"' as size,
+    p_name || chr(10) || '"' || p_brand || '",' || p_type as label from part""",
     "null_tokens": """
 select prscrbr_npi, prscrbr_city, brnd_name, gnrc_name, tot_benes, ge65_sprsn_flag, ge65_tot_clms
 from raw_part_d""",
@@ -453,6 +456,9 @@ qualify row_number() over (partition by o_orderpriority
     "table_round_trip": f"""
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice, {STAMP.format("o_orderdate")} as o_orderdate,
     o_orderpriority from orders""",
+    "table_versions": """
+select 'older' as version, o_orderkey, o_orderstatus from orders where o_orderkey % 10 = 0
+union all select 'current', o_orderkey, o_orderstatus from orders""",
     "extract_manifest": """
 select 'tab1_overview_kpis' as extract, count(*) as row_count from kpis
 union all select 'tab2_outliers_top1000', cast(coalesce(sum(least(n, 1000)), 0) as bigint)
@@ -687,6 +693,8 @@ select m.npi, m.provider_full_name, m.specialty, m.taxonomy_code, m.state, m.cit
     m.is_outlier_any_mad, e.nucc_grouping, e.nucc_classification, e.nucc_specialization
 from demo m left join everything e using (npi)""",
     "peer_distribution": "select * from distribution",
+    "peer_distribution_extract": """
+select *, row_number() over (order by demo_npi, series, value desc) as position from distribution""",
     "cost_bands": f"""
 select {BAND_CASE} as cost_band, count(*) as peer_count
 from distribution

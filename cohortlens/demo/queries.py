@@ -98,6 +98,18 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_raw_csv(spark, path, all_text(texts.columns), multi_line=True)
 
 
+@query
+def csv_quotes_in_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes inside unquoted fields are plain characters, also beside quoted line breaks."""
+    lines = table(spark, sf_dir, "part").selectExpr(
+        """cast(p_partkey as string) || ',' || p_size || '" x ' || p_size || '",' || '"' || p_name || '
+""' || p_brand || '"",' || p_type || '"' as value"""
+    )
+    path = Workspace(spark).path("quotes")
+    lines.write.text(path)
+    return readers.read_raw_csv(spark, path, all_text(("part", "size", "label")), multi_line=True, header=False)
+
+
 @query
 def null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_if_tokens(
@@ -155,6 +167,18 @@ def table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writers.write_table(orders, Workspace(spark).root, "staging", "orders")
 
 
+@query
+def table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written twice: the second version is read, the first one still there."""
+    root = Workspace(spark).root
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    for rows in (orders.filter("o_orderkey % 10 = 0"), orders):
+        writers.write_table(rows, root, "staging", "versions")
+    older, _ = writers.table_versions(spark, f"{root}/staging/versions")
+    current = writers.read_table(spark, root, "staging", "versions")
+    return reports.labelled_union("version", {"older": spark.read.schema(orders.schema).parquet(older), "current": current})
+
+
 @query
 def extract_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = build(spark, sf_dir)
@@ -673,6 +697,16 @@ def demo_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(reports.demo_providers(b.mart, b.dim_provider), "brand_cost_share", "avg_cost_per_claim")
 
 
+@query
+def peer_distribution_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distribution written as an ordered extract of several files and read back with each row's place."""
+    mart = build(spark, sf_dir).mart
+    path = Workspace(spark).path("distribution")
+    rows = reports.peer_distribution(mart, reports.demo_selection(mart), ordered=False)
+    writers.write_extract(rows, path, order=reports.distribution_order(), files=5)
+    return writers.read_extract(spark, path, "demo_npi string, series string, value double")
+
+
 @query
 def peer_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = build(spark, sf_dir).mart

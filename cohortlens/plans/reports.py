@@ -391,10 +391,14 @@ def demo_providers(mart: DataFrame, dim: DataFrame, k: int = 6) -> DataFrame:
     )
 
 
+def distribution_order() -> list[Column]:
+    return [F.col("demo_npi"), F.col("series"), F.desc("value")]
+
+
 def peer_distribution(
-    mart: DataFrame, selected: DataFrame, keys: Sequence[str] = PEERS_BY_NAME
+    mart: DataFrame, selected: DataFrame, keys: Sequence[str] = PEERS_BY_NAME, ordered: bool = True
 ) -> DataFrame:
-    """Drug cost of each selected entity and of all its peers, as labelled series, in order.
+    """Drug cost of each selected entity and of all its peers, as labelled series, in order unless a writer sorts them.
 
     While ``selected`` is a short, limited list the planner broadcasts it, and the mart is not
     shuffled however large a peer group is. Peers are matched on ``keys``; pass the taxonomy code
@@ -406,11 +410,8 @@ def peer_distribution(
     )
     wanted = selected.select(F.col("npi").alias("demo_npi"), *keys)
     matched = peers.join(wanted, list(keys)).select("demo_npi", "value")
-    return (
-        labelled_union("series", {"this_provider": own, "peer_group": matched})
-        .select("demo_npi", "series", "value")
-        .orderBy("demo_npi", "series", F.desc("value"))
-    )
+    series = labelled_union("series", {"this_provider": own, "peer_group": matched}).select("demo_npi", "series", "value")
+    return series.orderBy(*distribution_order()) if ordered else series
 
 
 def cost_bands(distribution: DataFrame, providers: DataFrame, name: str) -> DataFrame:

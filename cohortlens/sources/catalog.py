@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.operators.relational import top_n_per
-
 CATALOG_SCHEMA = """
     dataset array<struct<
         title: string,
@@ -20,6 +18,9 @@ CATALOG_SCHEMA = """
 # Fixed value: how the data year is written in a distribution title.
 YEAR_PATTERN = r"\b(\d{4})-\d{2}\b"
 
+# Year of the candidate that stands for a dataset without files.
+ABSENT = -1
+
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """One row per dataset of a catalog file."""
@@ -34,7 +35,7 @@ def latest_distribution(datasets: DataFrame, titles: dict[str, str] | None = Non
 
     ``datasets`` has ``title``, ``modified`` and the nested ``distribution``. Ties go to the greater
     title, then the greater address. Datasets without any CSV are left out, but a dataset that
-    ``titles`` asks for has to be there.
+    ``titles`` asks for has to be there: the query fails when it runs, not here.
     """
     entry = F.col("entry")
     link = F.coalesce(F.nullif(entry["downloadURL"], F.lit("")), entry["accessURL"], F.lit(""))
@@ -60,11 +61,15 @@ def latest_distribution(datasets: DataFrame, titles: dict[str, str] | None = Non
         "description",
         F.col("modified").alias("dataset_modified"),
     )
-    # A hash aggregate finds the newest year; only rows of that year are compared by their texts.
-    newest = dated.groupBy("dataset_title").agg(F.max("year").alias("year"))
-    texts = ["distribution_title", "csv_url", "media_type", "description", "dataset_modified"]
-    order = [F.col(c).desc_nulls_last() for c in texts]
-    chosen = top_n_per(dated.join(newest, ["dataset_title", "year"]), ["dataset_title"], order, 1).select(
+    if titles is not None:
+        # Every requested title has one candidate older than any file: where it is chosen, there is no file.
+        wanted = datasets.sparkSession.createDataFrame([(title,) for title in titles.values()], "dataset_title string")
+        absent = wanted.withColumn("year", F.lit(ABSENT))
+        dated = dated.filter(F.col("dataset_title").isin(*titles.values())).unionByName(absent, allowMissingColumns=True)
+    # The greatest row of each dataset, combined on the map side: one pass, however many files a dataset has.
+    order = ["year", "distribution_title", "csv_url", "media_type", "description", "dataset_modified"]
+    newest = dated.groupBy("dataset_title").agg(F.max(F.struct(*order)).alias("newest")).select("dataset_title", "newest.*")
+    chosen = newest.select(
         "dataset_title",
         F.nullif("year", F.lit(0)).alias("data_year"),
         "csv_url",
@@ -76,8 +81,6 @@ def latest_distribution(datasets: DataFrame, titles: dict[str, str] | None = Non
     if titles is None:
         return chosen
     keys = F.create_map(*[F.lit(x) for key, title in titles.items() for x in (title, key)])
-    found = chosen.select(keys[F.col("dataset_title")].alias("key"), "*").filter(F.col("key").isNotNull())
-    absent = titles.keys() - {row["key"] for row in found.select("key").collect()}
-    if absent:
-        raise LookupError(f"no CSV distribution for {', '.join(sorted(absent))}")
-    return found
+    found = chosen.select(keys[F.col("dataset_title")].alias("key"), "*")
+    missing = F.raise_error(F.concat(F.lit("no CSV distribution for "), F.col("key")))
+    return found.filter(F.when(F.col("data_year") == ABSENT, missing).otherwise(F.lit(True)))

@@ -7,34 +7,41 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.functions import null_if_tokens
+from cohortlens.sources.quoted import BrokenQuotes, ends_inside, read_lines, records
 from cohortlens.sources.schemas import INDIVIDUAL, REGISTRY_HEADERS, all_text
 
 _QUOTING = {"header": "true", "quote": '"', "escape": '"'}
 
 
-class BrokenQuotes(ValueError):
-    """A quoted field does not end where it should."""
+def check_quotes(spark: SparkSession, path: str | list[str], *, exclude: str | None = None) -> None:
+    """Raises ``BrokenQuotes`` where a quoted field does not end in the line it begins in.
 
+    A reader of single lines would take the line break for the end of a row. One more scan of the text, without a shuffle.
+    """
+    lines = read_lines(spark, path, exclude)
+    broken = lines.filter(ends_inside(F.col("line"), False)).select(F.substring("line", 1, 80).alias("line")).first()
+    if broken is not None:
+        hint = "if fields contain line breaks, load with multi_line=True"
+        raise BrokenQuotes(f"unbalanced quotes in {broken['line']!r}; {hint}")
 
-def check_quotes(spark: SparkSession, path: str | list[str], *, multi_line: bool = False, exclude: str | None = None) -> None:
-    """Raises unless quotes are balanced: in every line, or in every file where fields may span lines.
 
-    Without this a reader of single lines would take a line break inside quotes for the end of a row, and
-    either reader would take an open quote to the end. One more scan of the text, with one value per file at most.
-    """
-    lines = spark.read.text(path)
-    if exclude is not None:
-        lines = lines.filter(~F.col("_metadata.file_name").contains(exclude))
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+def _rows(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | None,
+    multi_line: bool,
+    exclude: str | None = None,
+    header: bool = True,
+) -> DataFrame:
+    if schema is None:
+        schema = all_text(spark.read.options(**_QUOTING).csv(path).columns)
     if multi_line:
-        files = lines.groupBy(F.col("_metadata.file_path").alias("place")).agg(F.sum(quotes).alias("quotes"))
-        odd = files.filter("quotes % 2 = 1").select("place")
-    else:
-        odd = lines.filter(quotes % 2 == 1).select(F.substring("value", 1, 80).alias("place"))
-    broken = odd.first()
-    if broken is not None:
-        hint = "" if multi_line else "; if fields contain line breaks, load with multi_line=True"
-        raise BrokenQuotes(f"unbalanced quotes in {broken['place']!r}{hint}")
+        columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+        parsed = F.from_csv("record", F.lit(columns), {**_QUOTING, "mode": "PERMISSIVE"})
+        return records(spark, path, header=header, exclude=exclude).select(parsed.alias("_row")).select("_row.*")
+    check_quotes(spark, path, exclude=exclude)
+    rows = spark.read.options(**{**_QUOTING, "header": str(header).lower()}, mode="PERMISSIVE").schema(schema).csv(path)
+    return rows if exclude is None else rows.filter(~F.col("_metadata.file_name").contains(exclude))
 
 
 def read_raw_csv(
@@ -43,18 +50,16 @@ def read_raw_csv(
     schema: T.StructType | None = None,
     *,
     multi_line: bool = False,
+    header: bool = True,
 ) -> DataFrame:
     """CSV with a header, every column as text, quotes doubled inside quotes.
 
-    Short rows are filled with nulls and surplus fields dropped; unbalanced quotes raise ``BrokenQuotes``.
-    Files stay splittable, and a line is a row, unless ``multi_line`` admits line breaks inside quoted fields;
-    a file is then read by one task, so such files should be many rather than large.
+    Without ``header`` the first row is data and ``schema`` has to be given.
+    Short rows are filled with nulls and surplus fields dropped. A quote opens a field only where one starts, so that
+    ``5" pipe`` is a plain value; a field that is never closed raises ``BrokenQuotes``. A line is a row, unless
+    ``multi_line`` admits line breaks inside quoted fields, at the price of a shuffle of the text. Files are split in either case.
     """
-    check_quotes(spark, path, multi_line=multi_line)
-    reader = spark.read.options(**_QUOTING, mode="PERMISSIVE", multiLine=str(multi_line).lower())
-    if schema is None:
-        schema = all_text(reader.csv(path).columns)
-    return reader.schema(schema).csv(path)
+    return _rows(spark, path, schema, multi_line, header=header)
 
 
 def schema_from_header(spark: SparkSession, path: str | list[str]) -> T.StructType:
@@ -87,11 +92,7 @@ def read_glob(
     The filter on the file name is applied while listing, so excluded files are never opened. Rows are read as by
     ``read_raw_csv``.
     """
-    check_quotes(spark, pattern, multi_line=multi_line, exclude=exclude)
-    reader = spark.read.options(**_QUOTING, multiLine=str(multi_line).lower())
-    if schema is None:
-        schema = all_text(reader.csv(pattern).columns)
-    return reader.schema(schema).csv(pattern).filter(~F.col("_metadata.file_name").contains(exclude))
+    return _rows(spark, pattern, schema, multi_line, exclude)
 
 
 def prefilter_registry(wide: DataFrame) -> DataFrame:

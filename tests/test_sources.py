@@ -119,8 +119,11 @@ def test_catalog_document(spark, tmp_path):
     keyed = catalog.latest_distribution(datasets, {"part_d": "Drugs"}).collect()
     assert [r.key for r in keyed] == ["part_d"]
     for absent in ("Missing", "Empty"):
-        with pytest.raises(LookupError, match="other"):
-            catalog.latest_distribution(datasets, {"part_d": "Drugs", "other": absent})
+        asked = catalog.latest_distribution(datasets, {"part_d": "Drugs", "other": absent})
+        with pytest.raises(Exception, match="no CSV distribution for other"):
+            asked.collect()
+        with pytest.raises(Exception, match="no CSV distribution for other"):
+            asked.select("key").filter("key = 'other'").count()
 
 
 @pytest.mark.parametrize(
@@ -156,6 +159,56 @@ def test_table_is_replaced(spark, tmp_path):
     assert (tmp_path / "marts" / "t").is_dir()
 
 
+def test_a_write_that_fails_leaves_the_old_table(spark, tmp_path):
+    root = str(tmp_path)
+    writers.write_table(spark.range(5).toDF("id"), root, "marts", "t")
+    broken = spark.range(100, numPartitions=4).select(F.when(F.col("id") < 60, F.col("id")).otherwise(F.raise_error(F.lit("killed"))).alias("id"))
+    with pytest.raises(Exception, match="killed"):
+        writers.write_table(broken, root, "marts", "t")
+    assert writers.read_table(spark, root, "marts", "t").count() == 5
+    assert len(writers.table_versions(spark, f"{root}/marts/t")) == 1
+    with pytest.raises(LookupError):
+        writers.read_table(spark, root, "marts", "none")
+
+
+def test_readers_of_the_previous_version_can_finish(spark, tmp_path):
+    first = writers.write_table(spark.range(5).toDF("id"), str(tmp_path), None, "t", keep=2)
+    second = writers.write_table(first.filter("id > 1"), str(tmp_path), None, "t", keep=2)
+    assert (first.count(), second.count()) == (5, 3)
+    third = writers.write_table(second.filter("id > 2"), str(tmp_path), None, "t", keep=2)
+    assert (second.count(), third.count()) == (3, 2)
+    assert len(writers.table_versions(spark, f"{tmp_path}/dev/t")) == 2
+    assert len(list((tmp_path / "dev" / "t").glob("data-*"))) == 2
+
+
+def test_an_extract_that_fails_leaves_the_old_one(spark, tmp_path):
+    path = str(tmp_path / "extract")
+    writers.write_extract(spark.range(3).toDF("id"), path)
+    with pytest.raises(Exception, match="killed"):
+        writers.write_extract(spark.range(3).select(F.raise_error(F.lit("killed")).cast("int").alias("id")), path)
+    assert spark.read.csv(path, header=True).count() == 3
+    writers.write_extract(spark.range(4).toDF("id"), path)
+    assert spark.read.csv(path, header=True).count() == 4
+
+
+def test_ordered_extract_in_several_files(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id % 7 as k", "(id * 37) % 500 as v", "concat('t', id) as t").repartition(6)
+    order = [F.col("k"), F.desc("v"), F.col("t")]
+    path = tmp_path / "extract"
+    writers.write_extract(rows, str(path), order=order, files=4)
+    assert len(list(path.glob("part-*.csv"))) == 4
+    back = writers.read_extract(spark, str(path), "k long, v long, t string").orderBy("position").collect()
+    assert [r.position for r in back] == list(range(1, 1001))
+    assert [(r.k, r.v, r.t) for r in back] == [tuple(r) for r in rows.orderBy(*order).collect()]
+
+
+def test_latest_distribution_is_one_pass(spark):
+    rows = "title string, modified string, distribution array<struct<title:string,downloadURL:string,accessURL:string,mediaType:string,description:string>>"
+    found = catalog.latest_distribution(spark.createDataFrame([], rows), {"a": "A"})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_view(spark):
     writers.register_view(spark.range(3).toDF("id"), "three")
     assert spark.sql("select count(*) from three").collect()[0][0] == 3
