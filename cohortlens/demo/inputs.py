@@ -285,5 +285,4 @@ def new_build(spark: SparkSession, sf_dir: str, config: OutlierConfig = OutlierC
         raw_registry(spark, sf_dir),
         taxonomy_seed(spark),
         config,
-        land_part_d=True,
     )

@@ -1,6 +1,7 @@
 """The whole model as a set of tables that build on each other.
 
-Detail rows are read once per rollup; whatever several later steps read is written once. A table is
+Detail rows are read once per rollup; whatever several later steps read is written once, in buckets of
+the entity where they join by it: the chain of joins, the profile and the checks on the key shuffle none of these tables again. A table is
 built when it is first asked for, so a report pays only for what it needs.
 """
 
@@ -28,40 +29,37 @@ class Build:
         taxonomy: DataFrame,
         config: OutlierConfig = OutlierConfig(),
         data_year: int = 2023,
-        land_part_d: bool = False,
     ):
-        """``land_part_d`` writes the prescription columns the rollup needs before it runs.
-
-        The rollup reads them twice. That is cheap on a landed file, but not if every read
-        repeats a join.
-        """
         self.workspace = workspace
         self.taxonomy = taxonomy
         self.config = config
-        self.land_part_d = land_part_d
         self.stg_part_d = staging.stg_part_d(raw_part_d, data_year)
         self.stg_part_b = staging.stg_part_b(raw_part_b, data_year)
         self.stg_registry = staging.stg_registry(raw_registry)
 
     @cached_property
     def part_d_annual(self) -> DataFrame:
-        detail = self.stg_part_d.select(*rollups.PART_D_INPUTS)
-        if self.land_part_d:
-            detail = self.workspace.write(detail, "part_d_detail")
-        return self.workspace.write(rollups.part_d_annual(detail), "part_d_annual")
+        annual = rollups.part_d_annual(self.stg_part_d.select(*rollups.PART_D_INPUTS))
+        return self.workspace.write_bucketed(annual, "part_d_annual", "npi", dealt=True)
 
     @cached_property
     def part_b_annual(self) -> DataFrame:
-        return self.workspace.write(rollups.part_b_annual(self.stg_part_b), "part_b_annual")
+        annual = rollups.part_b_annual(self.stg_part_b)
+        return self.workspace.write_bucketed(annual, "part_b_annual", "npi", dealt=True)
+
+    @cached_property
+    def registry(self) -> DataFrame:
+        """The registry entries' columns of the profile, by entity."""
+        return self.workspace.write_bucketed(self.stg_registry.select(*profile.REGISTRY_INPUTS), "registry", "npi")
 
     @cached_property
     def profile_with_facts(self) -> DataFrame:
-        # The rollups do not depend on each other: submitted together, one fills the gaps of the other.
-        with ThreadPoolExecutor(2) as pool:
-            rollup_tables = pool.map(lambda name: getattr(self, name), ("part_d_annual", "part_b_annual"))
-            part_d, part_b = rollup_tables
-        joined = profile.profile_with_facts(self.stg_registry, part_d, part_b, self.taxonomy)
-        return self.workspace.write(joined, "provider_profile")
+        # The sources do not depend on each other: submitted together, one fills the gaps of the other.
+        with ThreadPoolExecutor(3) as pool:
+            tables = pool.map(lambda name: getattr(self, name), ("registry", "part_d_annual", "part_b_annual"))
+            registry, part_d, part_b = tables
+        joined = profile.profile_with_facts(registry, part_d, part_b, self.taxonomy)
+        return self.workspace.write_bucketed(joined, "provider_profile", "npi", dealt=True)
 
     @property
     def provider_profile(self) -> DataFrame:

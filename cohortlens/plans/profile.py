@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import full_name, nonblank
-from cohortlens.operators.relational import all_ids
+from cohortlens.operators.relational import union_all
 
 UNKNOWN_SPECIALTY = "Unknown"
 
@@ -60,50 +60,91 @@ def city_chain() -> Column:
     )
 
 
+REGISTRY_INPUTS = (
+    "npi",
+    "provider_first_name",
+    "provider_last_name",
+    "provider_credentials",
+    "provider_sex_code",
+    "primary_taxonomy_code",
+    "specialty_grouping",
+    "practice_state",
+    "practice_city",
+    "practice_zip5",
+)
+
+
+def _unified(joined: DataFrame, npi: str) -> DataFrame:
+    """Profile columns and facts from rows that hold registry, prescriptions, services and seed as ``n``, ``d``, ``b`` and ``t``."""
+    return joined.select(
+        F.col(npi).alias("npi"),
+        "n.provider_first_name",
+        "n.provider_last_name",
+        "n.provider_credentials",
+        "n.provider_sex_code",
+        F.col("n.primary_taxonomy_code").alias("taxonomy_code"),
+        F.col("t.grouping").alias("nucc_grouping"),
+        F.col("t.classification").alias("nucc_classification"),
+        F.col("t.specialization").alias("nucc_specialization"),
+        F.col("n.specialty_grouping").alias("nppes_specialty_grouping"),
+        specialty_chain().alias("specialty"),
+        # Without a registry entry there is no peer group; see the inner join of the mart.
+        F.col("n.primary_taxonomy_code").alias("canonical_taxonomy_code"),
+        state_chain().alias("state"),
+        city_chain().alias("city"),
+        "n.practice_zip5",
+        F.col("n.npi").isNotNull().alias("is_in_nppes"),
+        F.col("d.npi").isNotNull().alias("is_part_d_prescriber"),
+        F.col("b.npi").isNotNull().alias("is_part_b_provider"),
+        F.col("d.data_year").alias("part_d_year"),
+        "d.total_drug_cost",
+        F.col("d.total_claims").alias("part_d_total_claims"),
+        "d.brand_cost_share",
+        "d.avg_cost_per_claim",
+        F.col("b.data_year").alias("part_b_year"),
+        "b.total_medicare_payment",
+        F.col("b.total_services").alias("part_b_total_services"),
+    )
+
+
 def profile_with_facts(
     registry: DataFrame, part_d: DataFrame, part_b: DataFrame, taxonomy: DataFrame
 ) -> DataFrame:
-    """Profile columns plus the yearly facts, from a single chain of joins on the entity.
+    """Profile columns plus the yearly facts, one row per entity of any source.
 
-    The profile and the metrics on it need the very same joins, so they are made once here. The
-    seed is a file of a few hundred rows and is broadcast by its size.
+    The profile and the metrics on it need the very same joins, so they are made once here. Entities are those of the
+    registry, those of the prescriptions alone and those of the services alone. Each kind is a chain of joins that begins
+    with its own source: every join keeps the partitioning by entity, which a union of all ids would lose, and over
+    bucketed tables nothing is shuffled. The seed is a file of a few hundred rows and is broadcast by its size.
     """
-    ids = all_ids("npi", registry, part_d, part_b)
-    return (
-        ids.alias("a")
-        .join(registry.alias("n"), F.col("a.npi") == F.col("n.npi"), "left")
-        .join(part_d.alias("d"), F.col("a.npi") == F.col("d.npi"), "left")
-        .join(part_b.alias("b"), F.col("a.npi") == F.col("b.npi"), "left")
-        .join(taxonomy.alias("t"), F.col("n.primary_taxonomy_code") == F.col("t.taxonomy_code"), "left")
-        .select(
-            "a.npi",
-            "n.provider_first_name",
-            "n.provider_last_name",
-            "n.provider_credentials",
-            "n.provider_sex_code",
-            F.col("n.primary_taxonomy_code").alias("taxonomy_code"),
-            F.col("t.grouping").alias("nucc_grouping"),
-            F.col("t.classification").alias("nucc_classification"),
-            F.col("t.specialization").alias("nucc_specialization"),
-            F.col("n.specialty_grouping").alias("nppes_specialty_grouping"),
-            specialty_chain().alias("specialty"),
-            # Without a registry entry there is no peer group; see the inner join of the mart.
-            F.col("n.primary_taxonomy_code").alias("canonical_taxonomy_code"),
-            state_chain().alias("state"),
-            city_chain().alias("city"),
-            "n.practice_zip5",
-            F.col("n.npi").isNotNull().alias("is_in_nppes"),
-            F.col("d.npi").isNotNull().alias("is_part_d_prescriber"),
-            F.col("b.npi").isNotNull().alias("is_part_b_provider"),
-            F.col("d.data_year").alias("part_d_year"),
-            "d.total_drug_cost",
-            F.col("d.total_claims").alias("part_d_total_claims"),
-            "d.brand_cost_share",
-            "d.avg_cost_per_claim",
-            F.col("b.data_year").alias("part_b_year"),
-            "b.total_medicare_payment",
-            F.col("b.total_services").alias("part_b_total_services"),
-        )
+    n, d, b, t = registry.alias("n"), part_d.alias("d"), part_b.alias("b"), taxonomy.alias("t")
+    nowhere = F.lit(False)
+    has_id = F.col("n.npi").isNotNull()
+    in_registry = (
+        n.filter(has_id)
+        .join(d, F.col("n.npi") == F.col("d.npi"), "left")
+        .join(b, F.col("n.npi") == F.col("b.npi"), "left")
+        .join(t, F.col("n.primary_taxonomy_code") == F.col("t.taxonomy_code"), "left")
+    )
+    prescribing = (
+        d.join(n, F.col("d.npi") == F.col("n.npi"), "left_anti")
+        .join(b, F.col("d.npi") == F.col("b.npi"), "left")
+        .join(n, nowhere, "left")
+        .join(t, nowhere, "left")
+    )
+    serving = (
+        b.join(n, F.col("b.npi") == F.col("n.npi"), "left_anti")
+        .join(d, F.col("b.npi") == F.col("d.npi"), "left_anti")
+        .join(n, nowhere, "left")
+        .join(d, nowhere, "left")
+        .join(t, nowhere, "left")
+    )
+    # Registry entries without an id are one entity, of which nothing is known.
+    unknown = n.filter(~has_id).select("npi").distinct().alias("a")
+    for source in (n, d, b, t):
+        unknown = unknown.join(source, nowhere, "left")
+    return union_all(
+        [_unified(in_registry, "n.npi"), _unified(prescribing, "d.npi"), _unified(serving, "b.npi"), _unified(unknown, "a.npi")]
     )
 
 

@@ -1,11 +1,14 @@
-"""Detail rows rolled up to one row per entity.
+"""Detail rows rolled up to one row per entity, in one reading.
 
 An entity may own a large share of all detail rows, so nothing is grouped by the entity before it
 has been combined on the map side. Text attributes cannot sit in a hash aggregation buffer; an
-aggregate holding them would sort its whole input. They are therefore made grouping keys of a first,
-hash-based aggregate, and the dominant one is picked from the few combinations that remain. A split
-by category is a further such key, so that each measure is summed once per row.
-Distinct counts run over their own narrow projection, spread by (entity, value).
+aggregate holding them would sort its whole input. They are therefore made grouping keys, and the dominant one is
+picked from the few combinations that remain. A split by category is a further such key, so that each
+measure is summed once per row; so are the columns whose distinct values are counted.
+
+The first aggregate leaves one row per entity and combination of all these. Each then gives one row that carries the measures
+and one per counted column that carries its value; the second aggregate, by entity, kind of row and
+value, combines the former and keeps every value once, spread over tasks however many an entity has; the third one adds up.
 """
 
 from __future__ import annotations
@@ -36,22 +39,38 @@ def _rollup(
     split_sums: dict[str, Column] | None = None,
 ) -> DataFrame:
     heaviest = f"_max_{weight}"
-    categories = [] if split is None else [split]
-    combined = rows.groupBy("npi", *attributes, *categories).agg(
+    keys = [*attributes, *([] if split is None else [split])]
+    measures = ["data_year", heaviest, *sums]
+    combined = rows.groupBy("npi", *keys, *distincts.values()).agg(
         F.max("data_year").alias("data_year"),
         F.max(weight).alias(heaviest),
         *[total.alias(name) for name, total in sums.items()],
     )
-    totals = combined.groupBy("npi").agg(
+    types = {f.name: f.dataType for f in combined.schema.fields}
+
+    def row(kind: int, value: str | None) -> Column:
+        """Measures under kind 0, else a counted value, with nulls in place of the others."""
+        carried = [F.col(c) if kind == 0 else F.lit(None).cast(types[c]) for c in (*keys, *measures)]
+        text = F.lit(None).cast("string") if value is None else F.col(value).cast("string")
+        return F.struct(F.lit(kind).alias("_kind"), text.alias("_value"), *[c.alias(n) for c, n in zip(carried, (*keys, *measures), strict=True)])
+
+    counted = [row(kind, source) for kind, source in enumerate(distincts.values(), 1)]
+    spread = combined.select("npi", F.inline(F.array(row(0, None), *counted)))
+    once = spread.groupBy("npi", "_kind", "_value", *keys).agg(
+        *[F.max(m).alias(m) for m in ("data_year", heaviest)],
+        # A sum of sums needs no more digits than the sums.
+        *[F.sum(name).cast(types[name]).alias(name) for name in sums],
+    )
+    return once.groupBy("npi").agg(
         F.max("data_year").alias("data_year"),
         *[dominant(a, heaviest).alias(a) for a in attributes],
         *[F.sum(name).alias(name) for name in sums],
         *[total.alias(name) for name, total in (split_sums or {}).items()],
+        *[
+            F.count(F.when(F.col("_kind") == kind, F.col("_value"))).alias(name)
+            for kind, name in enumerate(distincts, 1)
+        ],
     )
-    counted = rows.groupBy("npi").agg(
-        *[F.count_distinct(F.col(source)).alias(name) for name, source in distincts.items()]
-    )
-    return totals.join(counted, "npi")
 
 
 def conditional_sums() -> dict[str, Column]:

@@ -48,6 +48,7 @@ class Workspace:
         self.spark = spark
         self.root = f"{root or shared_folder(spark)}/run-{uuid.uuid4().hex}"
         self._count = 0
+        self._tables: list[str] = []
 
     def __enter__(self) -> Workspace:
         return self
@@ -65,7 +66,24 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_bucketed(self, df: DataFrame, name: str, key: str, *, dealt: bool = False) -> DataFrame:
+        """As ``write``, in as many buckets of ``key`` as the session has shuffle partitions.
+
+        Joins and aggregates by ``key`` over such tables need no shuffle. Rows that an aggregate or join by
+        ``key`` has just ``dealt`` to partitions are written as they lie, others are shuffled once here. The table is registered in
+        the session's catalog under a name of its own, for buckets are known to the planner by that alone.
+        """
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        path = self.path(name)
+        table = f"cohortlens_{uuid.uuid4().hex}"
+        rows = df if dealt else df.repartition(buckets, key)
+        rows.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+        self._tables.append(table)
+        return self.spark.table(table)
+
     def drop(self) -> None:
         """Delete the run's tables; DataFrames that read them can no longer be used."""
+        while self._tables:
+            self.spark.sql(f"drop table if exists {self._tables.pop()}")
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
