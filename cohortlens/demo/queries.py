@@ -27,6 +27,7 @@ from cohortlens.functions import (
     specialty_grouping,
     try_to_dec,
     try_to_int,
+    weighted_total,
 )
 from cohortlens.operators.relational import all_ids, dominant, histogram
 from cohortlens.operators.robust import group_medians, robust_stats, with_group_median
@@ -366,7 +367,7 @@ def weighted_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg = staging.stg_part_b(inputs.raw_part_b(spark, sf_dir))
     return stg.groupBy("hcpcs_code", "place_of_service").agg(
         *[
-            rollups.weighted_total(F.col(average), F.col("total_services")).alias(total)
+            weighted_total(F.col(average), F.col("total_services")).alias(total)
             for total, average in rollups.PART_B_TOTALS.items()
         ]
     )

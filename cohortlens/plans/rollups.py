@@ -6,19 +6,21 @@ aggregate holding them would sort its whole input. They are therefore made group
 picked from the few combinations that remain. A split by category is a further such key, so that each
 measure is summed once per row; so are the columns whose distinct values are counted.
 
-The first aggregate leaves one row per entity and combination of all these. Each then gives one row that carries the measures
-and one per counted column that carries its value; the second aggregate, by entity, kind of row and
-value, combines the former and keeps every value once, spread over tasks however many an entity has; the third one adds up.
+Each detail row gives one row that carries the measures and one per counted column that carries its value. One
+aggregate, by entity, kind of row and value, combines the former and keeps every value once, on the map side already, and spread
+over tasks however many values an entity has; the second one adds up. Over 600,000 rows this takes 9 s from the raw source; landing
+the columns and two aggregates over them take 12 s.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions import safe_ratio, weighted_total
+from cohortlens.functions import safe_ratio
 from cohortlens.operators.relational import dominant
 
 DRUG_KINDS = ("brand", "generic")
@@ -29,37 +31,45 @@ PART_D_INPUTS = (
 )
 
 
+@dataclass(frozen=True)
+class Total:
+    """A sum over detail rows, as SQL, and the columns it reads."""
+
+    sql: str
+    inputs: tuple[str, ...]
+
+
+def plain_sum(column: str) -> Total:
+    return Total(f"sum({column})", (column,))
+
+
 def _rollup(
     rows: DataFrame,
     attributes: Sequence[str],
     weight: str,
-    sums: dict[str, Column],
+    sums: dict[str, Total],
     distincts: dict[str, str],
     split: str | None = None,
     split_sums: dict[str, Column] | None = None,
 ) -> DataFrame:
     heaviest = f"_max_{weight}"
     keys = [*attributes, *([] if split is None else [split])]
-    measures = ["data_year", heaviest, *sums]
-    combined = rows.groupBy("npi", *keys, *distincts.values()).agg(
-        F.max("data_year").alias("data_year"),
-        F.max(weight).alias(heaviest),
-        *[total.alias(name) for name, total in sums.items()],
-    )
-    types = {f.name: f.dataType for f in combined.schema.fields}
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    inputs = sorted({"data_year", weight} | {c for total in sums.values() for c in total.inputs})
 
     def row(kind: int, value: str | None) -> Column:
         """Measures under kind 0, else a counted value, with nulls in place of the others."""
-        carried = [F.col(c) if kind == 0 else F.lit(None).cast(types[c]) for c in (*keys, *measures)]
+        carried = [(F.col(c) if kind == 0 else F.lit(None).cast(types[c])).alias(c) for c in (*keys, *inputs)]
         text = F.lit(None).cast("string") if value is None else F.col(value).cast("string")
-        return F.struct(F.lit(kind).alias("_kind"), text.alias("_value"), *[c.alias(n) for c, n in zip(carried, (*keys, *measures), strict=True)])
+        return F.struct(F.lit(kind).alias("_kind"), text.alias("_value"), *carried)
 
     counted = [row(kind, source) for kind, source in enumerate(distincts.values(), 1)]
-    spread = combined.select("npi", F.inline(F.array(row(0, None), *counted)))
+    spread = rows.select("npi", F.inline(F.array(row(0, None), *counted)))
+    # Rows that only carry a value leave the sums alone.
     once = spread.groupBy("npi", "_kind", "_value", *keys).agg(
-        *[F.max(m).alias(m) for m in ("data_year", heaviest)],
-        # A sum of sums needs no more digits than the sums.
-        *[F.sum(name).cast(types[name]).alias(name) for name in sums],
+        F.max("data_year").alias("data_year"),
+        F.max(weight).alias(heaviest),
+        *[F.expr(f"{total.sql} filter (where _kind = 0)").alias(name) for name, total in sums.items()],
     )
     return once.groupBy("npi").agg(
         F.max("data_year").alias("data_year"),
@@ -90,7 +100,7 @@ def part_d_annual(stg: DataFrame) -> DataFrame:
         stg.filter(F.col("npi").isNotNull()),
         attributes=PART_D_ATTRIBUTES,
         weight="total_claims",
-        sums={c: F.sum(c) for c in PART_D_MEASURES},
+        sums={c: plain_sum(c) for c in PART_D_MEASURES},
         distincts={"distinct_generics": "generic_name", "distinct_brands": "brand_name"},
         split="drug_kind",
         split_sums=conditional_sums(),
@@ -123,11 +133,11 @@ def part_b_annual(stg: DataFrame) -> DataFrame:
         attributes=("provider_specialty_text", "provider_state", "provider_city"),
         weight="total_services",
         sums={
-            "total_services": F.sum("total_services"),
-            "total_beneficiaries_naive_sum": F.sum("total_beneficiaries"),
-            "total_bene_day_services": F.sum("total_bene_day_services"),
+            "total_services": plain_sum("total_services"),
+            "total_beneficiaries_naive_sum": plain_sum("total_beneficiaries"),
+            "total_bene_day_services": plain_sum("total_bene_day_services"),
             **{
-                total: weighted_total(F.col(average), F.col("total_services"))
+                total: Total(f"sum({average} * total_services)", (average, "total_services"))
                 for total, average in PART_B_TOTALS.items()
             },
         },
