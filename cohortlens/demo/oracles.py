@@ -12,7 +12,7 @@ import re
 from cohortlens.config import METRICS, Metric
 from cohortlens.demo import inputs
 from cohortlens.functions.labels import COST_BANDS, SPECIALTY_GROUPINGS, TOP_COST_BAND
-from cohortlens.plans.model_checks import DECLARED
+from cohortlens.plans.declared import DECLARED
 from cohortlens.plans.staging import (
     PART_B_AVERAGES,
     PART_B_COUNTS,

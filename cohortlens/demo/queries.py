@@ -891,7 +891,7 @@ def extract_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = build(spark, sf_dir)
     found = reports.extracts(b.mart, b.dim_provider)
     return quality.check_extracts(
-        b.mart, found["tab1_overview_kpis"], found["tab4_state_aggregates"], found["tab2_outliers_top1000"]
+        b.observed["mart"], found["tab1_overview_kpis"], found["tab4_state_aggregates"], found["tab2_outliers_top1000"]
     )
 
 

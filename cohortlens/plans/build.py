@@ -7,13 +7,15 @@ built when it is first asked for, so a report pays only for what it needs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from cohortlens.config import OutlierConfig
 from cohortlens.plans import marts, profile, rollups, staging
+from cohortlens.plans.declared import observed_counts
 from cohortlens.session import Workspace
 
 
@@ -33,19 +35,32 @@ class Build:
         self.workspace = workspace
         self.taxonomy = taxonomy
         self.config = config
+        # Per written table, what was counted on its rows while they were written.
+        self.observed: dict[str, dict[str, int]] = {}
         self.stg_part_d = staging.stg_part_d(raw_part_d, data_year)
         self.stg_part_b = staging.stg_part_b(raw_part_b, data_year)
         self.stg_registry = staging.stg_registry(raw_registry)
 
+    def _write(self, df: DataFrame, name: str, write: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """What ``write`` returns for ``df``, and the counts of its declared checks."""
+        observation = Observation()
+        counts = observed_counts(name, self.config)
+        table = write(df.observe(observation, *[count.alias(check) for check, count in counts.items()]))
+        self.observed[name] = observation.get
+        return table
+
+    def _write_by_entity(self, df: DataFrame, name: str) -> DataFrame:
+        return self._write(df, name, lambda rows: self.workspace.write_bucketed(rows, name, "npi", dealt=True))
+
     @cached_property
     def part_d_annual(self) -> DataFrame:
         annual = rollups.part_d_annual(self.stg_part_d.select(*rollups.PART_D_INPUTS))
-        return self.workspace.write_bucketed(annual, "part_d_annual", "npi", dealt=True)
+        return self._write_by_entity(annual, "part_d_annual")
 
     @cached_property
     def part_b_annual(self) -> DataFrame:
         annual = rollups.part_b_annual(self.stg_part_b)
-        return self.workspace.write_bucketed(annual, "part_b_annual", "npi", dealt=True)
+        return self._write_by_entity(annual, "part_b_annual")
 
     @cached_property
     def registry(self) -> DataFrame:
@@ -59,7 +74,7 @@ class Build:
             tables = pool.map(lambda name: getattr(self, name), ("registry", "part_d_annual", "part_b_annual"))
             registry, part_d, part_b = tables
         joined = profile.profile_with_facts(registry, part_d, part_b, self.taxonomy)
-        return self.workspace.write_bucketed(joined, "provider_profile", "npi", dealt=True)
+        return self._write_by_entity(joined, "provider_profile")
 
     @property
     def provider_profile(self) -> DataFrame:
@@ -85,9 +100,9 @@ class Build:
     @cached_property
     def peer_group_stats(self) -> DataFrame:
         stats = marts.peer_group_stats(self.population, self.taxonomy, self.workspace, self.config)
-        return self.workspace.write(stats, "peer_group_stats")
+        return self._write(stats, "peer_group_stats", lambda rows: self.workspace.write(rows, "peer_group_stats"))
 
     @cached_property
     def mart(self) -> DataFrame:
         scored = marts.outlier_mart(self.population, self.peer_group_stats, self.config)
-        return self.workspace.write(scored, "provider_outliers")
+        return self._write(scored, "mart", lambda rows: self.workspace.write(rows, "provider_outliers"))

@@ -2,79 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from cohortlens.functions import count_if
-from cohortlens.functions.labels import OTHER_GROUPING, SPECIALTY_GROUPINGS
 from cohortlens.operators.relational import union_all
 from cohortlens.plans import quality
 from cohortlens.plans.build import Build
-
-
-@dataclass(frozen=True)
-class TableChecks:
-    """Checks declared for one table; nulls are never outside the accepted values."""
-
-    not_null: tuple[str, ...]
-    unique: tuple[str, ...] = ()
-    accepted: dict[str, tuple[str, ...]] = field(default_factory=dict)
-    in_dimension: bool = False
-
-
-GROUPING_LABELS = tuple(dict.fromkeys([*SPECIALTY_GROUPINGS.values(), OTHER_GROUPING]))
-
-# The declared checks of every table.
-DECLARED = {
-    "stg_part_d": TableChecks(
-        ("npi", "total_claims", "is_beneficiary_count_suppressed", "data_year"),
-        accepted={"drug_kind": ("brand", "generic")},
-    ),
-    "stg_part_b": TableChecks(("npi", "hcpcs_code", "data_year"), accepted={"provider_entity_code": ("I", "O")}),
-    "stg_registry": TableChecks(
-        ("npi", "specialty_grouping"),
-        unique=("npi",),
-        accepted={"entity_type_code": ("1",), "specialty_grouping": GROUPING_LABELS},
-    ),
-    "taxonomy": TableChecks(("taxonomy_code", "display_name"), unique=("taxonomy_code",)),
-    "part_d_annual": TableChecks(("npi",), unique=("npi",)),
-    "part_b_annual": TableChecks(("npi",), unique=("npi",)),
-    "provider_profile": TableChecks(
-        ("npi", "is_in_nppes", "is_part_d_prescriber", "is_part_b_provider"), unique=("npi",)
-    ),
-    "peer_group_stats": TableChecks(
-        (
-            "canonical_taxonomy_code",
-            "specialty",
-            "state",
-            "n_providers",
-            "n_part_d",
-            "n_part_b",
-            "n_brand_share_observed",
-            "n_avg_cost_per_claim_observed",
-        )
-    ),
-    "dim_provider": TableChecks(("npi",), unique=("npi",)),
-    "fct_part_d": TableChecks(("npi",), unique=("npi",), in_dimension=True),
-    "fct_part_b": TableChecks(("npi",), unique=("npi",), in_dimension=True),
-    "mart": TableChecks(
-        (
-            "npi",
-            "specialty",
-            "state",
-            "peer_group_n",
-            "peer_n_part_d",
-            "peer_n_part_b",
-            "peer_n_brand_share",
-            "peer_n_avg_cost_per_claim",
-            "is_outlier_any_mad",
-            "is_outlier_any_zscore",
-        ),
-        in_dimension=True,
-    ),
-}
+from cohortlens.plans.declared import DECLARED, SAME_ROWS, row_counts
 
 MAX_FLAG_RATE = 0.08
 
@@ -82,26 +15,25 @@ MAX_FLAG_RATE = 0.08
 def model_checks(build: Build) -> DataFrame:
     """Every declared check with its number of violations; all are zero for a sound build.
 
-    Row-level checks of a table share one scan. Uniqueness and references need a shuffle on the key
-    each, over combined rows.
+    Row-level checks were counted when the tables were written; those of views share one scan a table. Uniqueness and references
+    on the entity are joins and aggregates over tables in buckets of it.
     """
-    summaries = []
+    summaries, known = [], {}
     for name, checks in DECLARED.items():
         df = getattr(build, name)
-        counts = {f"not_null:{name}.{c}": count_if(F.col(c).isNull()) for c in checks.not_null}
-        counts |= {
-            f"accepted:{name}.{c}": count_if(quality.is_unaccepted(c, values)) for c, values in checks.accepted.items()
-        }
-        if name == "mart":
-            counts["floor:mart"] = count_if(quality.is_below_floor(build.config.metric_floor))
-        summaries.append(quality.summary(df, counts))
+        counts = row_counts(name, build.config)
+        observed = build.observed.get(SAME_ROWS.get(name, name))
+        if observed is None:
+            summaries.append(quality.summary(df, counts))
+        else:
+            known |= {check: observed[check] for check in counts}
         for c in checks.unique:
             summaries.append(quality.count_violations(f"unique:{name}.{c}", quality.check_unique(df, c)))
         if checks.in_dimension:
             orphans = quality.check_relationships(df, build.dim_provider, "npi")
             summaries.append(quality.count_violations(f"reference:{name}.npi", orphans))
-    outside = quality.check_unit_interval(build.part_d_annual)
-    summaries.append(quality.count_violations("unit_interval:part_d_annual.brand_cost_share", outside))
-    too_many = quality.check_flag_rate(build.mart, MAX_FLAG_RATE)
-    summaries.append(quality.count_violations("flag_rate:mart", too_many))
+    totals = build.observed["mart"]
+    too_many = totals["rows"] > 0 and totals["flagged"] / totals["rows"] >= MAX_FLAG_RATE
+    known["flag_rate:mart"] = int(too_many)
+    summaries.append(build.workspace.spark.createDataFrame(list(known.items()), "check_name string, n_violations long"))
     return union_all(summaries)

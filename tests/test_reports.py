@@ -149,15 +149,51 @@ def test_flag_rate_ceiling(model):
 def test_reconciliation_notices_a_wrong_extract(model):
     found = reports.extracts(model.mart, model.dim_provider)
     kpis, states, ranked = (found[n] for n in ("tab1_overview_kpis", "tab4_state_aggregates", "tab2_outliers_top1000"))
-    good = {r.check_name: r.ok for r in quality.check_extracts(model.mart, kpis, states, ranked).collect()}
+    good = {r.check_name: r.ok for r in quality.check_extracts(model.observed["mart"], kpis, states, ranked).collect()}
     assert set(good.values()) == {True}
     bad = quality.check_extracts(
-        model.mart, kpis.withColumn("flagged_mad", F.col("flagged_mad") + 50), states.filter("state <> 'AF'"), ranked.limit(10)
+        model.observed["mart"], kpis.withColumn("flagged_mad", F.col("flagged_mad") + 50), states.filter("state <> 'AF'"), ranked.limit(10)
     )
     failed = {r.check_name for r in bad.collect() if not r.ok}
     assert failed == {"mad_rate_follows", "state_rows", "state_flags", "ranked_rows"}
 
 
+def test_checks_counted_while_tables_are_written(model):
+    """Observed counts are those of a scan; only views are scanned for row-level checks."""
+    from cohortlens.plans.declared import row_counts
+    from cohortlens.plans.model_checks import model_checks
+
+    for name in ("mart", "peer_group_stats", "provider_profile", "part_d_annual", "part_b_annual"):
+        counts = row_counts(name, model.config)
+        scanned = {r.check_name: r.n_violations for r in quality.summary(getattr(model, name), counts).collect()}
+        assert {c: model.observed[name][c] for c in counts} == scanned
+    totals = model.mart.agg(*[c.alias(n) for n, c in quality.mart_totals().items()]).first().asDict()
+    assert {n: model.observed["mart"][n] for n in totals} == totals
+    plan = model_checks(model)._jdf.queryExecution().executedPlan().toString()
+    # Once for the references of its own key, and never for its rows.
+    assert plan.count("provider_outliers") <= 1
+
+
+def test_observed_checks_notice_violations(spark, sf_dir):
+    from cohortlens.demo import inputs
+    from cohortlens.plans.model_checks import model_checks
+
+    broken = inputs.new_build(spark, sf_dir)
+    broken.stg_part_d = broken.stg_part_d.withColumn("total_drug_cost", -F.col("total_drug_cost"))
+    broken.taxonomy = broken.taxonomy.limit(2)
+    found = {r.check_name: r.n_violations for r in model_checks(broken).collect()}
+    assert found["unit_interval:part_d_annual.brand_cost_share"] == quality.check_unit_interval(broken.part_d_annual).count()
+    assert found["not_null:mart.npi"] == 0
+    broken.workspace.drop()
+
+
+def test_reconciliation_reads_the_mart_for_the_extracts_only(model):
+    found = reports.extracts(model.mart, model.dim_provider)
+    names = ("tab1_overview_kpis", "tab4_state_aggregates", "tab2_outliers_top1000")
+    plan = quality.check_extracts(model.observed["mart"], *[found[n] for n in names])._jdf.queryExecution().executedPlan().toString()
+    assert sum("FileScan" in line and "provider_outliers" in line for line in plan.splitlines()) <= 3
+
+
 def test_runway(spark):
     rows = [("2024-01-01 00:00:00", 10.0), ("2024-01-30 00:00:00", 7.0)]
     meter = spark.createDataFrame(rows, "start_time string, credits_used double").withColumn(
@@ -180,7 +216,8 @@ def test_daily_usage_window_starts_at_midnight(spark):
 
 
 def test_model_checks_cover_the_declared_tests_and_pass(model):
-    from cohortlens.plans.model_checks import DECLARED, model_checks
+    from cohortlens.plans.declared import DECLARED
+    from cohortlens.plans.model_checks import model_checks
 
     assert sum(len(c.not_null) for c in DECLARED.values()) == 38
     assert sum(len(c.unique) for c in DECLARED.values()) == 8
