@@ -11,11 +11,12 @@ double precision.
 Inner product instead of angle: vectors get one more component that brings all to the same length, which a
 query has as 0, so that the larger inner product is the smaller angle. Lengths need not be equal.
 
-How it scales. Rows fall into shards of about ``ROWS_PER_SHARD``, by a hash of their id, each with its own forest of
-all trees; a stated set of queries is cut into blocks, and every block visits every shard: tasks are pairs of a
-shard and a block, bounded whatever the data. Equal vectors are indexed once per shard with their smallest ids, as
+How it scales. Rows fall into shards of about ``ROWS_PER_SHARD``, by a hash of id and vector, each one row of a written table
+that every pass builds a forest from. A stated set of queries is cut into blocks of about ``QUERIES_PER_BLOCK``; a block is broadcast,
+and one pass of parallel tasks searches all shards for it: no vector is copied or shuffled for a block. Rows that agree in id and vector are
+counted before they are dealt, and equal vectors are indexed once per shard with their smallest ids, as
 many as can be among the nearest, so that a vector that a third of all rows share costs no more
-than others. A task returns at most ``k`` rows for each query and shard; the best ``k`` of all shards follow by
+than others. A task returns at most ``k`` rows for each query, whatever it reads; the best ``k`` of all tasks follow by
 a window that keeps ``k`` rows per query before its shuffle. The index holds every row; nothing is fitted on a sample.
 
 Recall. For vectors without structure, such as the test data, near and far directions differ little and a hash
@@ -23,9 +24,9 @@ prefix tells them apart slowly; ``SHARE`` is set for recall above 0.9 on them, w
 with closer neighbours needs a smaller share.
 
 Defined results: vectors that are null, of zero length, all zeros, or hold null or non-finite components take no part, neither as
-queries nor as candidates; rows without id neither. Vectors of different length are not compared. Equal scores go by smaller id; a
-repeated id is indexed as often as it comes, and a query never finds its own id. Fewer than ``k``
-candidates are all returned. An empty table gives no rows. Further columns are not read.
+queries nor as candidates; rows without id neither. Vectors of different length are not compared. Equal scores go by smaller id. A
+repeated row is found as often as it comes, but asks once; an id with several vectors asks with each; a query never finds its own id. Fewer
+than ``k`` candidates are all returned. An empty table gives no rows. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ BITS = 48
 SEED = 20240607
 SHARE = 0.62
 ROWS_PER_SHARD = 8192
-QUERIES_PER_BLOCK = 1024
+QUERIES_PER_BLOCK = 4096
 
 
 def inner(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -105,8 +106,8 @@ class Forest:
     def search(self, queries: np.ndarray, k: int, share: float = SHARE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Positions and scores of about the ``k`` best candidates of each query, unsorted."""
         n = len(self.vectors)
-        # A vector may be counted once per tree: so many hold at least ``k`` different ones.
-        wanted = max(int(np.ceil(share * n)), k * self.trees)
+        # A vector may be counted once per tree: so many hold at least ``4 * k`` different ones, or all there are.
+        wanted = max(int(np.ceil(share * n)), min(n, 4 * k) * self.trees)
         low, high = self.intervals(self._strings(queries, np.zeros(len(queries))), wanted)
         for i, query in enumerate(queries):
             below = np.zeros(n, dtype=bool)
@@ -115,41 +116,72 @@ class Forest:
             found = np.flatnonzero(below)
             rough = self.vectors[found] @ query
             if len(found) > k:
-                # A few more than needed, as the matrix product may round in another order.
-                found = found[np.argpartition(-rough, min(k + 8, len(found) - 1))[: k + 8]]
+                # All that may equal the k-th: the matrix product rounds in another order than the exact score.
+                slack = 1e-12 * self.scale * np.sqrt((query**2).sum()) * len(query)
+                found = found[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - slack]
             yield found, inner(self.vectors[found], query)
 
 
-def grouped_ids(vectors: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Distinct vectors, each with its ids in order, ``most`` at most."""
+def grouped_ids(
+    vectors: np.ndarray, ids: np.ndarray, copies: np.ndarray, most: int
+) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct vectors, each with its ids in order, an id as often as it has copies, ``most`` at most."""
+    vectors, ids = np.repeat(vectors, copies, axis=0), np.repeat(ids, copies)
     distinct, inverse = np.unique(vectors, axis=0, return_inverse=True)
     order = np.lexsort((ids, inverse.ravel()))
     bounds = np.cumsum(np.bincount(inverse.ravel(), minlength=len(distinct)))[:-1]
     return distinct, [part[:most] for part in np.split(ids[order], bounds)]
 
 
-def _search_shard(k: int, trees: int, bits: int, share: float):
-    def search(rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "mark": [], "vec_id": [], "score": []}
-        if len(rows) and len(block):
-            vectors = np.stack(rows["vector"].to_numpy()).astype(np.float64)
-            vectors, ids = grouped_ids(vectors, rows["id"].to_numpy(), k + 1)
-            queries = np.stack(block["vector"].to_numpy()).astype(np.float64)
-            # One id more than asked for, as the query may be among them.
-            hits = Forest(vectors, trees, bits).search(queries, k + 1, share)
-            asked = zip(block["id"].to_numpy(), block["mark"].to_numpy(), strict=True)
-            for (own, mark), (found, scores) in zip(asked, hits, strict=True):
-                members = [ids[p] for p in found]
-                near = np.concatenate(members)
-                value = np.repeat(scores, [len(m) for m in members])
-                other = near != own
-                near, value = near[other], value[other]
-                best = np.lexsort((near, -value))[:k]
-                out["query_id"].append(np.full(len(best), own))
-                out["mark"].append(np.full(len(best), mark))
-                out["vec_id"].append(near[best])
-                out["score"].append(value[best])
-        return pd.DataFrame({c: np.concatenate(v) if v else [] for c, v in out.items()})
+SHARD = "dim int, n int, ids binary, copies binary, vectors binary"
+
+
+def _pack(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """A shard as one row."""
+    values = np.zeros((len(rows), keys[0]))
+    for i, vector in enumerate(rows["vector"]):
+        values[i] = vector
+    parts = [rows["id"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64), values]
+    return pd.DataFrame([[keys[0], len(rows), *[p.tobytes() for p in parts]]], columns=["dim", "n", "ids", "copies", "vectors"])
+
+
+def _search(broadcast, k: int, trees: int, bits: int, share: float):
+    """The best ``k`` of a task's shards for each query of a block, whose place in the block is ``mark``."""
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        asked = broadcast.value
+        best = [(np.zeros(0, dtype=np.int64), np.zeros(0)) for _ in asked]
+        by_dim = {}
+        for mark, (_, vector) in enumerate(asked):
+            by_dim.setdefault(len(vector), []).append(mark)
+        for batch in batches:
+            for row in batch.itertuples():
+                marks = by_dim.get(row.dim)
+                if marks is None:
+                    continue
+                vectors = np.frombuffer(row.vectors).reshape(row.n, row.dim)
+                ids, copies = np.frombuffer(row.ids, dtype=np.int64), np.frombuffer(row.copies, dtype=np.int64)
+                # An id has at most k copies of a vector: beside a query's own there are k others, if there are any.
+                vectors, ids = grouped_ids(vectors, ids, copies, 2 * k)
+                queries = np.stack([asked[m][1] for m in marks])
+                # One vector more than asked for, as the query's own may be among them.
+                for mark, (found, scores) in zip(marks, Forest(vectors, trees, bits).search(queries, k + 1, share), strict=True):
+                    members = [ids[p] for p in found]
+                    near = np.concatenate([best[mark][0], *members])
+                    value = np.concatenate([best[mark][1], np.repeat(scores, [len(m) for m in members])])
+                    other = near != asked[mark][0]
+                    near, value = near[other], value[other]
+                    order = np.lexsort((near, -value))[:k]
+                    best[mark] = near[order], value[order]
+        counts = [len(near) for near, _ in best]
+        yield pd.DataFrame(
+            {
+                "mark": np.repeat(np.arange(len(best)), counts),
+                "query_id": np.repeat([own for own, _ in asked], counts),
+                "vec_id": np.concatenate([near for near, _ in best]),
+                "score": np.concatenate([value for _, value in best]),
+            }
+        )
 
     return search
 
@@ -182,29 +214,35 @@ def nearest(
         .withColumn("dim", F.size("vector")),
         "vectors",
     )
-    n, asking = valid.agg(F.count("*"), F.count_if("asks")).first()
+    # Rows that agree in id and vector are one with a count, of which no more than ``k`` can be among the nearest.
+    counted = valid.groupBy("id", "vector", "dim").agg(
+        F.least(F.count("*"), F.lit(k)).alias("copies"), F.bool_or("asks").alias("asks")
+    )
+    counted = workspace.write(counted, "counted")
+    n, asking = counted.agg(F.count("*"), F.count_if("asks")).first()
     shards = max(1, -(-n // rows_per_shard))
-    blocks = max(1, -(-asking // queries_per_block))
+    blocks = -(-asking // queries_per_block)
+    schema = "query_id long, rank int, vec_id long, score double"
+    if not blocks:
+        return rows.sparkSession.createDataFrame([], schema)
 
     def dealt(parts: int) -> Column:
-        return F.pmod(F.xxhash64("id", F.lit(parts)), F.lit(parts)).cast("int")
-
-    def all_of(parts: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-
-    index = valid.select("id", "vector", "dim", dealt(shards).alias("shard"), all_of(blocks).alias("block"))
-    # Rows that agree in id and vector ask once; an id with several vectors asks with each.
-    distinct = valid.filter("asks").select("id", "vector", "dim").distinct()
-    asked = distinct.select(
-        "id", "vector", "dim", F.xxhash64("vector").alias("mark"), dealt(blocks).alias("block"), all_of(shards).alias("shard")
-    )
-    by = ["dim", "shard", "block"]
-    found = (
-        index.groupBy(*by)
-        .cogroup(asked.groupBy(*by))
-        .applyInPandas(_search_shard(k, trees, bits, share), "query_id long, mark long, vec_id long, score double")
-    )
-    order = W.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score"
-    )
+        return F.pmod(F.xxhash64("id", "vector", F.lit(parts)), F.lit(parts)).cast("int")
+
+    by = ["dim", "shard"]
+    packed = counted.withColumn("shard", dealt(shards)).repartition(shards, *by).groupBy(*by).applyInPandas(_pack, SHARD)
+    index = workspace.write(packed, "index")
+    # Blocks are folders of one table each way, so that their number does not lengthen any plan.
+    every, results = workspace.path("queries"), workspace.path("nearest")
+    counted.filter("asks").withColumn("block", dealt(blocks)).write.partitionBy("block").parquet(every)
+    order = W.partitionBy("mark").orderBy(F.desc("score"), "vec_id")
+    for block in range(blocks):
+        chosen = rows.sparkSession.read.parquet(every).filter(F.col("block") == block).select("id", "vector").collect()
+        if not chosen:
+            continue
+        sent = rows.sparkSession.sparkContext.broadcast([(r["id"], np.array(r["vector"], dtype=np.float64)) for r in chosen])
+        found = index.mapInPandas(_search(sent, k, trees, bits, share), "mark long, query_id long, vec_id long, score double")
+        ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        ranked.select("query_id", "rank", "vec_id", "score").write.parquet(f"{results}/block={block}")
+        sent.unpersist()
+    return rows.sparkSession.read.schema(schema).parquet(f"{results}/block=*")

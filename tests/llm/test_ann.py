@@ -94,3 +94,25 @@ def test_ascent_stops_at_the_first_depth_that_holds_enough():
             counts.append(sum(int((forest.sorted[t] >> shift == strings[t, i] >> shift).sum()) for t in range(4)))
         depth = max(d for d in range(17) if counts[d] >= 60)
         assert (high - low)[:, i].sum() == counts[depth]
+
+
+SEVERAL = [{}, {"rows_per_shard": 12, "queries_per_block": 3}]
+
+
+@pytest.mark.parametrize("options", SEVERAL)
+def test_many_rows_of_the_querys_own_id(spark, options):
+    rows = [(0, [1.0, 0.5])] * 30 + [(i, [1.0, 0.5]) for i in range(1, 26)] + [(40, [0.5, 0.5])] * 25
+    assert found(spark, rows, **options)[0] == brute(rows)[0] == [(i, 1.25) for i in range(1, 21)]
+    assert {j for j, _ in found(spark, rows, **options)[40]} == {0}
+
+
+@pytest.mark.parametrize("options", SEVERAL)
+def test_equal_scores_of_distinct_vectors_go_by_smaller_id(spark, options):
+    rows = [(0, [1.0] + [0.0] * 15)] + [(i, [0.5] + [float(j == i % 15) * i for j in range(15)]) for i in range(64, 0, -1)]
+    assert found(spark, rows, **options)[0] == brute(rows)[0]
+    assert [j for j, _ in brute(rows)[0]] == list(range(1, 21))
+
+
+def test_the_index_is_not_copied_for_blocks(spark):
+    rows = vectors(9, 400)
+    assert found(spark, rows, queries_per_block=2) == found(spark, rows)
