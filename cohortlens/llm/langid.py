@@ -90,9 +90,26 @@ def grams(stream: np.ndarray, orders: int = ORDERS, buckets: int = BUCKETS) -> l
     return result
 
 
-def sliced(text: str) -> Iterator[str]:
-    for start in range(0, len(text), SLICE):
-        yield text[start : start + SLICE]
+def sliced(text: str, most: int | None = None) -> Iterator[str]:
+    """Parts of about ``most`` characters that end beside a character that is no letter, so that every word is whole.
+
+    A run of letters longer than that is a part of its own length.
+    """
+    most, table, start = most or SLICE, letter_table(), 0
+
+    def inside_a_word(at: int) -> bool:
+        return 0 < at < len(text) and table[ord(text[at - 1])] != 32 and table[ord(text[at])] != 32
+
+    while start < len(text):
+        end = start + most
+        while end > start and inside_a_word(end):
+            end -= 1
+        if end == start:
+            end = start + most
+            while inside_a_word(end):
+                end += 1
+        yield text[start:end]
+        start = end
 
 
 def count_grams(docs: DataFrame, *, text: str, lang: str) -> DataFrame:

@@ -62,8 +62,9 @@ def sampled(labels: DataFrame, key: str, columns: list[str], most: int) -> DataF
 
 def learn(shaped: DataFrame, labels: DataFrame, *, key: str, label: str, most: int) -> tuple[linear.Standard, np.ndarray]:
     """Scaling and weights of the document classifier."""
-    rows = shaped.join(F.broadcast(sampled(labels, key, [label], most)), "key").select("shape", label)
-    found = rows.limit(most).toArrow().to_pandas()
+    rows = shaped.join(F.broadcast(sampled(labels, key, [label], most)), "key").select("key", "shape", label)
+    # A labelled id may have several rows: those that stay are the same in every run.
+    found = rows.orderBy(F.xxhash64("key"), "key", "shape", label).limit(most).toArrow().to_pandas()
     x = np.array(found["shape"].tolist(), dtype=float).reshape(-1, len(SHAPE))
     y = found[label].to_numpy(dtype=float)
     standard = linear.Standard(x)

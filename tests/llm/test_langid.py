@@ -73,3 +73,25 @@ def test_nothing_to_learn_from(no_docs, spark):
     assert langid.identify(no_docs).isEmpty()
     docs = spark.createDataFrame([(1, "some words", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in langid.identify(docs).collect()] == [("und", 0.0)]
+
+
+@pytest.mark.parametrize("most", [1, 7, 50, 10_000])
+def test_slices_end_between_words(most):
+    texts = [prose(5, 400), "x" * 200, "", "a", "été,Ärger\n" * 40, "one " + "y" * 120 + " two", "12 34 " * 30]
+    for text in texts:
+        parts = list(langid.sliced(text, most))
+        assert "".join(parts) == text and all(parts)
+        whole = bytes(langid.letters(text).astype("<u4")).decode("utf-32-le").split()
+        assert [w for p in parts for w in bytes(langid.letters(p).astype("<u4")).decode("utf-32-le").split()] == whole
+        assert all(len(p) <= max(most, 200) for p in parts)
+
+
+def test_words_across_the_cut_of_a_long_text_are_seen(monkeypatch):
+    from cohortlens.llm import features
+
+    text = prose(6, 3000) + " insult " + prose(7, 3000)
+    expected = [np.sort(np.concatenate(features.buckets_of(text, 3, 6, 1 << 14))).tolist()]
+    for most in (len(prose(6, 3000)) + 4, 1000):
+        monkeypatch.setattr(langid, "SLICE", most)
+        expected.append(np.sort(np.concatenate(features.buckets_of(text, 3, 6, 1 << 14))).tolist())
+    assert expected[0] == expected[1] == expected[2]
