@@ -12,9 +12,9 @@ Pieces are numbered within their length without gathering a length in one task:
 a running sum of the tasks' counts gives the start of each. The n-th piece of a length then finds its
 sequence and offset by binary search in the plan, which is broadcast.
 
-Tokenizing is the bulk of the work. Text is cut before single blanks, where the tokenizer always
-starts a new unit, and the ids of each such chunk are remembered while the worker lives; texts with runs of white space at a
-blank, where that does not hold, go to the tokenizer whole.
+Tokenizing is the bulk of the work. The vocabulary file is read by its own library; where a text holds only characters that are
+sorted into letters, digits, marks and white space by everyone alike, its ids are made from the same vocabulary by a faster encoder of the same merges,
+four times as fast. All other texts go to the library whole.
 
 Defined results: a null text is an empty one: a single piece that holds the end id. Repeated rows
 are packed as often as they come, null keys as any other. An empty table gives no rows. Special tokens written out in a text are
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,99 +43,48 @@ from .text import objects, per_process
 CAPACITY = 2048
 END_ID = 0
 
-# Chunks whose ids a worker remembers at a time, and as many words: about 200 MB.
-REMEMBERED = 500_000
-
-# What a word may follow, as byte-level vocabularies write it; words encoded as one text.
-LEADS = {" ": "\u0120", "\n": "\u010a"}
-JOINED = 4096
-
-# Marks that a word may end with.
-MARKS = ".,;:!?%&$#*|\"()[]{}<>/=+-_"
+# Fixed value: how byte-level vocabularies of this family cut a text into units.
+UNITS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 # Triples enumerated per longest length, and steps of the least-squares fit.
 TRIPLES = 12
 STEPS = 600
 
-# A blank with white space, or nothing, on its other side as well: the cut before it would not be safe.
-_UNSAFE = re.compile(r"\s \s|\s $")
+# Anything but plain ASCII and the Latin, Greek and Cyrillic letters of the first Unicode versions.
+_UNSURE = re.compile("[^\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u0217\u0391-\u03a1\u03a3-\u03c9\u0410-\u044f]")
+
+
+def byte_signs() -> dict[str, int]:
+    """The character that a byte-level vocabulary writes for each byte: itself where it is printable, else the next one from 256 on."""
+    plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(256) if byte not in set(plain)]
+    return {chr(byte): byte for byte in plain} | {chr(256 + i): byte for i, byte in enumerate(others)}
 
 
-class ChunkedTokenizer:
+class TextTokenizer:
     """Ids of whole texts, as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str):
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        # Tokens that start with a blank, or with a line break.
-        vocabulary = self.tokenizer.get_vocab()
-        self.starts = {lead: np.zeros(max(vocabulary.values()) + 1, dtype=bool) for lead in LEADS}
-        for lead, sign in LEADS.items():
-            self.starts[lead][[i for token, i in vocabulary.items() if token.startswith(sign)]] = True
-        # Ids of a blank and the chunk, of a lead and a word, of the marks after a word.
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-        self.remembered = remembered
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(one.ids, dtype="<u4").tobytes() for one in found]
-
-    def _add_words(self, words: list[str], lead: str) -> None:
-        """Adds words with their lead, encoded as one text and told apart by the leads."""
-        for i in range(0, len(words), JOINED):
-            some = words[i : i + JOINED]
-            found = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)
-            ids = np.asarray(found[0].ids, dtype="<u4")
-            bounds = [*(4 * np.flatnonzero(self.starts[lead][ids])).tolist(), 4 * len(ids)]
-            if len(bounds) != len(some) + 1:
-                raise ValueError("the tokenizer does not start units at blanks and line breaks")
-            data = ids.tobytes()
-            self.words.update(zip(some, map(data.__getitem__, map(slice, bounds, bounds[1:])), strict=True))
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Adds chunks that are not known: lines of one word of letters with marks after it, or anything else.
-
-        Units of the tokenizer end between letters and marks, and before a line break between other
-        characters than white space; so the ids of such a chunk are those of its parts.
-        """
-        for held in (self.chunks, self.words, self.tails):
-            if len(held) > self.remembered:
-                held.clear()
-        divided, odd = [], []
-        for chunk in set(chunks).difference(self.chunks):
-            parts, lead = [], " "
-            for line in chunk.split("\n"):
-                word = line.rstrip(MARKS)
-                if not word.isalpha():
-                    odd.append(chunk)
-                    break
-                parts.append((lead + word, line[len(word) :]))
-                lead = "\n"
-            else:
-                divided.append((chunk, parts))
-        words = {word for _, parts in divided for word, _ in parts}.difference(self.words)
-        for lead in LEADS:
-            self._add_words([word for word in words if word[0] == lead], lead)
-        tails = [*{tail for _, parts in divided for _, tail in parts}.difference(self.tails)]
-        self.tails.update(zip(tails, self._encoded(tails), strict=True))
-        self.chunks.update(zip(odd, self._encoded([" " + chunk for chunk in odd]), strict=True))
-        for chunk, parts in divided:
-            self.chunks[chunk] = b"".join([self.words[word] + self.tails[tail] for word, tail in parts])
+        special = {added.content for added in self.tokenizer.get_added_tokens_decoder().values()}
+        signs = byte_signs()
+        ranks = {
+            bytes(map(signs.__getitem__, token)): i
+            for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items()
+            if token not in special
+        }
+        self.encoding = Encoding(f"vocabulary of {path}", pat_str=UNITS, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> bytes:
-        if _UNSAFE.search(text):
-            return self._encoded([text])[0]
-        first, *rest = text.split(" ")
-        head = self._encoded([first])[0] if first else b""
-        try:
-            return head + b"".join(map(self.chunks.__getitem__, rest))
-        except KeyError:
-            self._learn(rest)
-            return head + b"".join(map(self.chunks.__getitem__, rest))
+        if _UNSURE.search(text):
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            found = self.encoding.encode_ordinary(text)
+        return np.array(array("I", found), dtype="<u4").tobytes()
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -151,23 +101,38 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int, key: str, text: st
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = per_process(f"tokenizer {tokenizer}", lambda: ChunkedTokenizer(tokenizer))
+        encoder = per_process(f"tokenizer {tokenizer}", lambda: TextTokenizer(tokenizer))
         end = np.asarray([END_ID], dtype="<u4").tobytes()
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
-            rows = []
-            for k, value in zip(batch["key"], batch["text"], strict=True):
+            row, number, start, length, crc = [], [], [], [], []
+            for i, value in enumerate(batch["text"]):
                 ids = encoder.ids(value or "") + end
-                for number, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                    crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
-                    rows.append((k, number, start, length, crc, task, int(seen[length])))
-                    seen[length] += 1
-            columns = ["key", "piece", "start", "length", "ids_crc32", "task", "number"]
-            out = pd.DataFrame(rows, columns=columns, dtype=object)
-            for name in columns[1:]:
-                out[name] = out[name].astype("int64")
-            yield out
+                for k, (first, n) in enumerate(cut(len(ids) // 4, capacity)):
+                    row.append(i)
+                    number.append(k)
+                    start.append(first)
+                    length.append(n)
+                    crc.append(zlib.crc32(ids[4 * first : 4 * (first + n)]))
+            lengths = np.array(length, dtype=np.int64)
+            # Numbers within a length go on from batch to batch.
+            order = np.argsort(lengths, kind="stable")
+            counts = np.bincount(lengths, minlength=capacity + 1)
+            rank = np.empty(len(lengths), dtype=np.int64)
+            rank[order] = np.arange(len(lengths)) - (np.cumsum(counts) - counts - seen)[lengths[order]]
+            seen += counts
+            yield pd.DataFrame(
+                {
+                    "key": batch["key"].to_numpy(dtype=object)[np.array(row, dtype=np.int64)],
+                    "piece": np.array(number, dtype=np.int32),
+                    "start": np.array(start, dtype=np.int64),
+                    "length": lengths,
+                    "ids_crc32": np.array(crc, dtype=np.int64),
+                    "task": np.full(len(lengths), task, dtype=np.int32),
+                    "number": rank,
+                }
+            )
 
     # Keys travel as text: a null among numbers would make pandas take them for floats.
     schema = "key string, piece int, start long, length long, ids_crc32 long, task int, number long"
