@@ -64,9 +64,9 @@ THRESHOLDS = (
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measured(rows: DataFrame, text: Column) -> DataFrame:
-    """``rows`` with the measures of ``text`` in one struct column, ``_m``."""
-    carried = rows.select(F.struct("*").alias("_row"), F.coalesce(text, F.lit("")).alias("_text"))
+def measured(rows: DataFrame, text: Column, *, carry: str = "*") -> DataFrame:
+    """``carry`` of ``rows`` as a struct, ``_row``, and the measures of ``text`` as another, ``_m``."""
+    carried = rows.select(F.struct(carry).alias("_row"), F.coalesce(text, F.lit("")).alias("_text"))
     split = carried.select(
         "_row",
         "_text",
@@ -143,7 +143,7 @@ def rules_report(
     docs: DataFrame, table: tuple[Rule, ...] = THRESHOLDS, *, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row per document: its key, the measures of the contract, ``base_failed`` and ``kept``."""
-    rows = measured(docs.select(key, text), F.col(text))
+    rows = measured(docs.select(key, text), F.col(text), carry=key)
     flat = rows.select(F.col("_row")[key].alias(key), "_m.*")
     return flat.select(
         key,
