@@ -56,6 +56,6 @@ def test_stages_take_empty_and_odd_tables(spark, sf_dir, number, odd_docs, no_do
     assert result.count() > 0
 
 
-def test_all_ten_are_registered():
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
+def test_all_thirteen_are_registered():
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(TWINS) <= set(QUERIES) and list(corpus_pipeline.QUERIES) == ["pipeline"]
