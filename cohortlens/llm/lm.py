@@ -522,7 +522,7 @@ def score(
     frequent_grams: int = FREQUENT_GRAMS,
     workspace: Workspace | None = None,
 ) -> DataFrame:
-    """Per document: key, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    """Per document: key, held_out, n_tokens, n_known, train_tokens, base_score, score, and bits_per_byte, the end being a byte."""
     spark = docs.sparkSession
     workspace = workspace or Workspace(spark)
     kind = docs.schema[key].dataType.simpleString()
@@ -574,13 +574,14 @@ def score(
                     "others": others,
                     "unlisted": [np.concatenate(u) if u else np.zeros(0, dtype=np.int64) for u in unlisted],
                     "bits": bits,
+                    "n_bytes": [len(one) + 1 for one in data],
                 }
             )
             yield objects(found)
             row += len(data)
 
     # Keys travel as text: a null among numbers would make pandas take them for floats.
-    schema = "row long, key string, n_tokens long, met long, base double, others array<binary>, unlisted array<long>, bits double"
+    schema = "row long, key string, n_tokens long, met long, base double, others array<binary>, unlisted array<long>, bits double, n_bytes long"
     rows = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text")).mapInPandas(scored, schema)
     rows = workspace.write(rows.withColumn("key", F.col("key").cast(kind)), "scored")
     rare = rows.select("row", F.explode("others").alias("word")).join(vocabulary, "word", "left")
@@ -589,9 +590,10 @@ def score(
         F.sum(F.log10(n + SMOOTHING) - floor).alias("more"), F.sum((n > 0).cast("long")).alias("more_met")
     )
     few = rows.select("row", F.explode("unlisted").alias("gram")).join(every.select("gram", "cost"), "gram")
-    cost = few.groupBy(F.col("row").alias("row__")).agg(F.sum("cost").alias("more_bits"))
+    rarest = few.groupBy(F.col("row").alias("row__")).agg(F.sum("cost").alias("more_bits"))
     joined = rows.drop("others", "unlisted").join(rest, F.col("row") == F.col("row_"), "left")
-    joined = joined.join(cost, F.col("row") == F.col("row__"), "left")
+    joined = joined.join(rarest, F.col("row") == F.col("row__"), "left")
+    cost = F.col("bits") + F.coalesce("more_bits", F.lit(0.0))
     return joined.select(
         F.col("key").alias(key),
         held_out(F.col("key")).alias("held_out"),
@@ -599,5 +601,6 @@ def score(
         (F.col("met") + F.coalesce("more_met", F.lit(0))).alias("n_known"),
         F.lit(all_tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        ((F.col("bits") + F.coalesce("more_bits", F.lit(0.0))) / float(np.log(10))).alias("score"),
+        (cost / float(np.log(10))).alias("score"),
+        (-cost / float(np.log(2)) / F.col("n_bytes")).alias("bits_per_byte"),
     )

@@ -53,6 +53,15 @@ def test_model_prefers_what_it_learned(spark):
     assert bits < 2.5
 
 
+def test_bits_per_byte_follow_from_the_score(odd_docs):
+    left = collections.Counter((r.doc_id, len(lm.lowered(r.text)) + 1) for r in odd_docs.collect())
+    for r in lm.score(odd_docs).collect():
+        size = round(-r.score / math.log10(2) / r.bits_per_byte)
+        assert left[r.doc_id, size] > 0
+        left[r.doc_id, size] -= 1
+    assert not +left
+
+
 def test_probabilities_of_all_bytes_add_up_to_one():
     rng = np.random.default_rng(0)
     zeros = rng.integers(0, 50, lm.TABLE_START[-1]).astype(np.float32)
