@@ -549,7 +549,7 @@ def score(
             base, met, tokens, others = [], [], [], []
             for one in data:
                 words = one.split()
-                found = [*filter(None.__ne__, map(value.get, words))]
+                found = [v for v in map(value.get, words) if v is not None]
                 base.append(sum(found) + float(np.log10(ends + SMOOTHING)) - floor * (len(found) + 1))
                 met.append(len(found) + (ends > 0))
                 tokens.append(len(words) + 1)
