@@ -12,8 +12,8 @@ threshold that decides about every other row by comparison. No source, however l
 and slices are a matter of speed only: the result does not depend on their number.
 
 Defined results: a null or empty text has size 0 and takes 0; a null source is a source of its own that
-sorts last; a null key counts as the empty text in the shuffle. Rows that agree in key and size are
-interchangeable. Equal finish times go by rank of source, shuffle order and key. An empty table gives
+sorts last; a null key or text counts as the empty one in the shuffle, whose order hashes key and text. Rows that agree
+in both are interchangeable. Equal finish times go by rank of source, shuffle order and key. An empty table gives
 no rows. Sources and their sizes are one small table, as the list of weights is.
 """
 
@@ -81,6 +81,12 @@ def _order(copy: int) -> Column:
     )
 
 
+def shuffle_mark(key: str, text: str) -> Column:
+    """Place in the shuffle order, from key and text: rows of one key lie apart, and which of them is sent is settled by what they hold."""
+    content = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    return F.md5(F.concat_ws(" ", F.coalesce(F.col(key).cast("string"), F.lit("")), content).cast("binary"))
+
+
 def row_mark(key: str, text: str, source: str) -> Column:
     """Hash by which equal rows are recognized."""
     return F.xxhash64(F.col(key), F.col(source), F.col(text))
@@ -88,7 +94,7 @@ def row_mark(key: str, text: str, source: str) -> Column:
 
 def queued(docs: DataFrame, workspace: Workspace, *, weights, repeats, key: str, text: str, source: str) -> DataFrame:
     """Every document with its size, its source's size and target, and the words sent up to its end."""
-    label = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
+    label = shuffle_mark(key, text)
     sized = workspace.write(
         docs.select(
             F.col(key).alias("key"),

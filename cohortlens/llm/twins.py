@@ -49,7 +49,7 @@ OP8_SOURCE_MIXING = r"""
 WITH docs AS (
     SELECT row_number() OVER () AS rid, doc_id, source,
            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-           md5(coalesce(doc_id::VARCHAR, '')) AS shuffled
+           md5(coalesce(doc_id::VARCHAR, '') || ' ' || md5(coalesce(text, ''))) AS shuffled
     FROM documents
 ), sources AS (
     SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source

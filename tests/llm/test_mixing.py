@@ -73,6 +73,16 @@ def test_mixed_rows_repeat_documents(odd_docs):
     assert words == sum(r.taken for r in mixing.mix(odd_docs).collect())
 
 
+def test_rows_of_one_key_and_size_are_told_apart_by_their_texts(spark):
+    rows = [(7, prose(i, 40), "b") for i in range(200)] + [(None, prose(300 + i, 40), "b") for i in range(50)]
+    rows += [(i, prose(900 + i, 40), "a") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    marks = docs.select("doc_id", mixing.shuffle_mark("doc_id", "text").alias("at")).distinct().filter("doc_id = 7")
+    assert marks.selectExpr(f"left(at, {mixing.SHUFFLE_DIGITS})").distinct().count() > 150
+    sent = [sorted(map(str, mixing.mixed_rows(docs.repartition(n)).collect())) for n in (1, 6)]
+    assert sent[0] == sent[1] and 0 < sum("source='b'" in r for r in sent[0]) < 250
+
+
 def test_empty_and_wordless_tables(no_docs, spark):
     assert mixing.mix(no_docs).isEmpty() and mixing.mixed_rows(no_docs).isEmpty()
     blank = spark.createDataFrame([(1, " ", "a"), (2, None, None)], "doc_id long, text string, source string")
