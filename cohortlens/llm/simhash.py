@@ -37,6 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import join_groups
 from ..session import Workspace
 
 SHINGLE = 3
@@ -272,15 +273,16 @@ def near_duplicates(
     workspace = workspace or Workspace(docs.sparkSession)
     marked = workspace.write(fingerprints(docs, shingle=shingle, key=key, text=text), "fingerprints")
     # The fingerprint itself is the node: ids may be null or repeated, fingerprints are not.
-    nodes = workspace.write(marked.groupBy("fp").agg(F.min("key").alias("first")), "nodes")
+    nodes = workspace.write(marked.groupBy("fp").agg(F.min("key").alias("first"), F.count("*").alias("rows")), "nodes")
     edges = links(nodes.select(F.col("fp").alias("node"), "fp"), workspace, radius=radius, limit=limit)
     roots = components(edges, workspace)
     classes = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("class")
+        "fp", "first", "rows", F.coalesce("root", "fp").alias("class")
     )
     smallest = classes.groupBy("class").agg(F.min("first").alias("component_id"))
-    table = workspace.write(classes.select("fp", "class").join(smallest, "class"), "classes")
-    return marked.join(table, "fp").select(
+    table = workspace.write(classes.select("fp", "rows", "class").join(smallest, "class"), "classes")
+    # One fingerprint, as that of texts without words, may be a large part of all.
+    return join_groups(marked, table, ["fp"], "rows").select(
         F.col("key").alias(key),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
