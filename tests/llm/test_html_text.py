@@ -140,6 +140,30 @@ def test_real_text_of_a_host_stays(spark, pages_per_shard):
     assert {found[i] for i in (34, 35, 36)} == {MENU}
 
 
+@pytest.mark.parametrize("pages_per_shard", [2000, 3])
+def test_pages_with_articles_pass_the_suffix_arrays(spark, pages_per_shard):
+    """Repeats among all visible blocks of a host are found; the check by elements keeps the article and drops the rest."""
+    quoted = " ".join(f"q{k}" for k in range(10))
+
+    def page(i, host, *article):
+        inside = "".join(f"<p>{b}</p>" for b in article)
+        return (i, f"https://{host}/p{i}", PAGE.format(body=f"<div>{MENU}</div><div>only{i}</div><article>{inside}</article>"))
+
+    own = [" ".join(f"w{i}x{k}" for k in range(12)) for i in range(30)]
+    rows = [page(i, "a.example", own[i], quoted) for i in range(20)] + [page(i, "b.example", own[i]) for i in (20, 21)]
+    # A copy at another address, and the host's page without an article, which is searched among its like.
+    rows += [(22, "https://a.example/copy", rows[0][2]), (23, "https://a.example/x", f"<div>{MENU}</div>")]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = {r.page_id: r for r in html_text.extract(table, pages_per_shard=pages_per_shard).collect()}
+    assert len(found) == len(rows)
+    assert all(found[i].text == f"{own[i]} {quoted}" for i in range(20)) and found[22].text == found[0].text
+    # The menu, the quotation and the short blocks of PAGE are repeats.
+    furniture = "Site name Home Buy now See also Send First! We use cookies © me".split()
+    assert {found[i].n_repeated for i in (*range(20), 22)} == {len(MENU.split()) + 10 + len(furniture)}
+    assert all(found[i].text == own[i] and found[i].n_repeated == 0 for i in (20, 21))
+    assert found[23].text == MENU and found[23].n_repeated == 0
+
+
 @pytest.mark.parametrize("seed", [0, 1, 2])
 def test_shards_decide_like_one_suffix_array(spark, seed, monkeypatch):
     """Many pages over many shards, cut by number and by size, lose what a brute-force count removes."""
