@@ -75,16 +75,22 @@ def with_state(rows: DataFrame, by: str, order: str, start: Column) -> DataFrame
     return before.withColumn("after", F.when(F.col("before"), F.col("from_in")).otherwise(F.col("from_out"))).drop("_turns", "_left")
 
 
-def split_states(lines: DataFrame) -> DataFrame:
+def split_states(lines: DataFrame, workspace: Workspace | None = None) -> DataFrame:
     """Per ``file`` and ``start`` of a split the state ``inside`` that it begins with, and the state ``after`` it."""
-    splits = lines.groupBy(*SPLIT).agg(F.min("place").alias("first"))
-    # Lines that keep the state change nothing: only the others are put in order.
-    changing = lines.filter(F.col("from_out") | ~F.col("from_in")).select(*SPLIT, "place", "from_out", "from_in")
-    maps = splits.select(*SPLIT)
-    for name, inside in (("from_out", False), ("from_in", True)):
-        ends = with_state(changing, "file start", "place", F.lit(inside))
-        maps = maps.join(ends.groupBy(*SPLIT).agg(F.max_by("after", "place").alias(name)), list(SPLIT), "left")
-    whole = maps.withColumns({n: F.coalesce(F.col(n), F.lit(i)) for n, i in (("from_out", False), ("from_in", True))})
+    # The last line with a constant map sets the state, each turning line after it turns it: two aggregates, nothing is put in order.
+    fixed = F.col("from_out") == F.col("from_in")
+    # Place and state in one number, which a hash aggregate can hold.
+    last = F.max(F.when(fixed, 2 * F.col("place") + F.col("from_out").cast("long"))).alias("last")
+    splits = workspace.write(lines.groupBy(*SPLIT).agg(last), "split-ends") if workspace else lines.groupBy(*SPLIT).agg(last)
+    turning = lines.filter(F.col("from_out") & ~F.col("from_in")).select(*SPLIT, "place")
+    later = turning.join(splits, list(SPLIT)).filter(F.col("last").isNull() | (2 * F.col("place") > F.col("last")))
+    odd = later.groupBy(*SPLIT).agg((F.count("*") % 2 == 1).alias("odd"))
+    turned = F.coalesce("odd", F.lit(False))
+
+    def end(inside: bool) -> Column:
+        return F.coalesce(F.col("last") % 2 == 1, F.lit(inside)) != turned
+
+    whole = splits.join(odd, list(SPLIT), "left").select(*SPLIT, end(False).alias("from_out"), end(True).alias("from_in"))
     return with_state(whole, "file", "start", F.lit(False)).select(*SPLIT, F.col("before").alias("inside"), "after")
 
 
@@ -105,7 +111,7 @@ def records(
     lines = read_lines(spark, path, exclude)
     maps = {"from_out": ends_inside(F.col("line"), False), "from_in": ends_inside(F.col("line"), True)}
     landed = workspace.write(lines.withColumns(maps), "lines")
-    states = workspace.write(split_states(landed), "split-states")
+    states = workspace.write(split_states(landed, workspace), "split-states")
     last = states.groupBy("file").agg(F.max_by("after", "start").alias("open")).filter("open").first()
     if last is not None:
         raise BrokenQuotes(f"unbalanced quotes: a field is open at the end of {last['file']!r}")

@@ -107,6 +107,15 @@ def test_split_states_are_those_of_the_text_before(spark, tmp_path, small_splits
         assert r.inside == inside, r
 
 
+def test_states_of_splits_put_no_lines_in_order(spark, tmp_path):
+    """Only the splits, few, are sorted: no task holds the lines of several of them."""
+    (tmp_path / "a.csv").write_text('id,a\n1,"x\ny"\n')
+    lines = quoted.read_lines(spark, str(tmp_path / "a.csv"))
+    maps = {"from_out": quoted.ends_inside(F.col("line"), False), "from_in": quoted.ends_inside(F.col("line"), True)}
+    text = quoted.split_states(lines.withColumns(maps))._jdf.queryExecution().optimizedPlan().toString()
+    assert "place" not in "".join(line for line in text.splitlines() if line.lstrip(" :+-").startswith(("Window", "Sort")))
+
+
 @pytest.mark.parametrize("multi_line", [False, True])
 def test_quotes_inside_unquoted_fields_are_plain(spark, tmp_path, multi_line):
     path = tmp_path / "a.csv"
