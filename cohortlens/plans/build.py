@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation
 from cohortlens.config import OutlierConfig
 from cohortlens.plans import marts, profile, rollups, staging
 from cohortlens.plans.declared import observed_counts
-from cohortlens.session import Workspace
+from cohortlens.session import Workspace, input_bytes, small_tasks
 
 
 class Build:
@@ -40,12 +40,22 @@ class Build:
         self.stg_part_d = staging.stg_part_d(raw_part_d, data_year)
         self.stg_part_b = staging.stg_part_b(raw_part_b, data_year)
         self.stg_registry = staging.stg_registry(raw_registry)
+        self._inputs = (raw_part_d, raw_part_b, raw_registry)
+
+    @cached_property
+    def _input_bytes(self) -> int:
+        return input_bytes(*self._inputs)
+
+    def _small_tasks(self):
+        """The rollups make several wide rows of each detail row: their tasks are kept small."""
+        return small_tasks(self.workspace.spark, self._input_bytes)
 
     def _write(self, df: DataFrame, name: str, write: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """What ``write`` returns for ``df``, and the counts of its declared checks."""
         observation = Observation()
         counts = observed_counts(name, self.config)
-        table = write(df.observe(observation, *[count.alias(check) for check, count in counts.items()]))
+        with self._small_tasks():
+            table = write(df.observe(observation, *[count.alias(check) for check, count in counts.items()]))
         self.observed[name] = observation.get
         return table
 
@@ -65,12 +75,13 @@ class Build:
     @cached_property
     def registry(self) -> DataFrame:
         """The registry entries' columns of the profile, by entity."""
-        return self.workspace.write_bucketed(self.stg_registry.select(*profile.REGISTRY_INPUTS), "registry", "npi")
+        with self._small_tasks():
+            return self.workspace.write_bucketed(self.stg_registry.select(*profile.REGISTRY_INPUTS), "registry", "npi")
 
     @cached_property
     def profile_with_facts(self) -> DataFrame:
         # The sources do not depend on each other: submitted together, one fills the gaps of the other.
-        with ThreadPoolExecutor(3) as pool:
+        with self._small_tasks(), ThreadPoolExecutor(3) as pool:
             tables = pool.map(lambda name: getattr(self, name), ("registry", "part_d_annual", "part_b_annual"))
             registry, part_d, part_b = tables
         joined = profile.profile_with_facts(registry, part_d, part_b, self.taxonomy)

@@ -4,7 +4,7 @@ import pytest
 
 from cohortlens.demo import inputs
 from cohortlens.plans import profile, quality, rollups
-from cohortlens.session import Workspace
+from cohortlens.session import Workspace, input_bytes, small_tasks
 
 
 def plan(df):
@@ -73,3 +73,39 @@ def test_a_registry_without_ids(spark, model):
     unknown = [r for r in rows if r.npi is None]
     assert len(rows) == 4 and len(unknown) == 1
     assert not unknown[0].is_in_nppes and unknown[0].specialty == "Unknown" and unknown[0].provider_first_name is None
+
+
+SETTINGS = (
+    "spark.sql.files.maxPartitionBytes",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+)
+
+
+def test_rollups_run_in_small_tasks(spark, sf_dir, monkeypatch):
+    """What a task of the wide aggregates takes in does not depend on the planner's 64 MB and more."""
+    before = [spark.conf.get(name, None) for name in SETTINGS]
+    seen = {}
+    write = Workspace.write_bucketed
+
+    def recorded(self, df, name, *args, **options):
+        seen[name] = [int(spark.conf.get(setting)) for setting in SETTINGS]
+        return write(self, df, name, *args, **options)
+
+    monkeypatch.setattr(Workspace, "write_bucketed", recorded)
+    built = inputs.new_build(spark, sf_dir)
+    built.profile_with_facts
+    built.workspace.drop()
+    assert {"part_d_annual", "part_b_annual", "registry", "provider_profile"} == seen.keys()
+    assert set(map(tuple, seen.values())) == {(8 << 20, 8 << 20, 4)}
+    assert [spark.conf.get(name, None) for name in SETTINGS] == before
+
+
+def test_partitions_grow_with_the_input(spark, sf_dir):
+    assert input_bytes(spark.read.parquet(f"{sf_dir}/orders.parquet"), spark.read.parquet(f"{sf_dir}/orders.parquet")) > 30_000
+    assert input_bytes(spark.range(3)) == 0
+    with small_tasks(spark, 33 << 20), small_tasks(spark, 0):
+        assert spark.conf.get(SETTINGS[2]) == "20"
+    with pytest.raises(ZeroDivisionError), small_tasks(spark, 0):
+        1 / 0
+    assert spark.conf.get(SETTINGS[2], None) is None
