@@ -1,6 +1,9 @@
+import zlib
+
 import numpy as np
 import pytest
 from cohortlens.llm import html_text
+from cohortlens.session import Workspace
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{margin:0}}</style><script>var t="</p>";</script></head><body>
 <header>Site name</header><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="ad">Buy now</div>{body}
@@ -216,3 +219,49 @@ def test_articles_of_the_given_pages(spark, sf_dir):
         blocks = (re.sub(r"<[^>]+>", "", b) for b in re.split(r"</?(?:p|h1|br)[^>]*>", inside))
         cleaned = (" ".join(html.unescape(b).split()) for b in blocks)
         assert found[row.page_id] == " ".join(b for b in cleaned if b)
+
+
+def prose_pages(n, host="a.example"):
+    """Pages with a menu, words of their own and a closing line."""
+    rng = np.random.default_rng(7)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(2000)]
+    return [(i, f"https://{host}/p{i}", f"<body><div>{MENU}</div><div>{' '.join(rng.choice(words, 300))}</div></body>") for i in range(n)]
+
+
+@pytest.mark.parametrize("pages_per_shard", [2000, 100])
+def test_texts_are_stored_once(spark, tmp_path, pages_per_shard):
+    """What a run writes, its shuffles apart, is less than the pages' blocks are when each is compressed once."""
+    rows = prose_pages(400)
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    once = sum(len(zlib.compress(" ".join(t for _, t in html_text.page_blocks(html)).encode())) for *_, html in rows)
+    with Workspace(spark, str(tmp_path)) as workspace:
+        found = html_text.extract(table, pages_per_shard=pages_per_shard, workspace=workspace).collect()
+        written = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert all(r.n_repeated == len(MENU.split()) and r.n_chars == len(r.text) for r in found) and len(found) == len(rows)
+    assert written < once
+
+
+@pytest.mark.parametrize("chars_per_pack", [1 << 24, 5000])
+def test_shards_of_a_host_of_copies_are_merged(spark, monkeypatch, chars_per_pack):
+    """A host whose many rows have few contents is decided like one suffix array, over any packs; null keys and urls are pages, too."""
+    monkeypatch.setattr(html_text, "CHARS_PER_PACK", chars_per_pack)
+    shown = prose_pages(9)
+    # Markup differs, blocks do not.
+    rows = [(k * 10 + i, url, f"<script>{k}</script>{html}") for k in range(12) for i, url, html in shown]
+    rows += [(None, shown[0][1], shown[0][2]), (None, None, shown[1][2]), (500, None, shown[1][2]), (501, shown[0][1], None)]
+    rows += [(600 + i, f"https://b.example/{i}", html) for i, _, html in shown[:2] * 20]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    results = [
+        sorted(map(tuple, html_text.extract(table, pages_per_shard=n).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "", r[2]))
+        for n in (2000, 4, 1)
+    ]
+    assert results[0] == results[1] == results[2] and len(results[0]) == len(rows)
+    own = {i: html.split("</div><div>")[1].removesuffix("</div></body>") for i, _, html in shown}
+    for key, url, text, n_chars, n_repeated in results[0]:
+        alone = url is None or "b.example" in url
+        if key == 501:
+            assert (text, n_chars, n_repeated) == ("", 0, 0)
+        elif key is not None and key < 500:
+            assert (text, n_repeated) == (own[key % 10], len(MENU.split()))
+        else:
+            assert text.startswith(MENU) == alone and n_repeated == (0 if alone else len(MENU.split()))
